@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .op3_bpe import VOCABULARY, token_counts
-from .shared import table
+from .shared import kept, table
 
 BLOCK = 4096
 
@@ -70,4 +70,4 @@ def quantile(sums: DataFrame, q: float) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_sums(histogram(table(spark, sf_dir, "documents")))
+    return suffix_sums(kept(histogram(table(spark, sf_dir, "documents")), "lengths"))

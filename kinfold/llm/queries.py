@@ -6,16 +6,8 @@ import importlib
 
 #: module: names of its queries
 _MODULES = {
-    "op1_lm": ["op1_lm_scoring"],
-    "op2_ngram_join": ["op2_ngram_jaccard"],
     "op3_bpe": ["op3_byte_bpe"],
-    "op4_decontam": ["op4_decontamination"],
-    "op5_sharding": ["op5_hash_tree"],
-    "op6_quality": ["op6_ordinal_quality"],
     "op7_token_counts": ["op7_token_counts"],
-    "op8_rules": ["op8_rule_ledger"],
-    "op9_html": ["op9_host_paths"],
-    "op10_secrets": ["op10_secret_crf"],
 }
 
 
