@@ -166,6 +166,9 @@ class Field:
         self.edge[_OUT, _IN] = -4.0
         self.file[:, _BEGIN] = self.file[:, _IN] = -1.0
 
+    def light(self) -> tuple[np.ndarray, ...]:
+        return tuple(x.astype(np.float32) for x in (self.shape, self.word, self.file, self.edge))
+
     def emissions(self, shape: np.ndarray, word: np.ndarray, file: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Scores of the three tags for each token of a run of rows; `first` has the first token of each row."""
         own = self.shape[shape] + self.word[word]
@@ -303,43 +306,65 @@ def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE) -> Field:
     return train({"shape": wide("shape"), "word": wide("word"), "tag": wide("tag"), "file": np.array(got.column("file").to_pylist(), np.int64)})
 
 
+def _found(batch_text, weights) -> Iterator[tuple[bytes | None, list[tuple[int, int, int]]]]:
+    """Of each row of a text column: its bytes if it has spans, and the spans (start, kind, end) in code points."""
+    own = Field()
+    own.shape, own.word, own.file, own.edge = weights
+    for _, _, data, offsets in raw_slices(batch_text, 1_500_000):
+        found = _scan(data, offsets)
+        tokens = Tokens(data, offsets)
+        scores = own.emissions(tokens.shape, tokens.word, tokens.file[tokens.rows()], tokens.first) if len(tokens.starts) else np.zeros((0, 3))
+        more = _model_spans(decode(scores, own.edge.astype(float), tokens.first), tokens, offsets)
+        for row in range(len(offsets) - 1):
+            spans = found[row][1] if row in found else []
+            if row in more:
+                raw = data[offsets[row] : offsets[row + 1]].tobytes()
+                held, added = list(spans), []
+                for x, y in more[row]:
+                    a = len(raw[:x].decode(errors="ignore"))
+                    b = a + len(raw[x:y].decode(errors="ignore"))
+                    if not any(s < b and a < e for s, _, e in held):
+                        added.append((a, 3, b))
+                spans = sorted(held + added)
+            yield data[offsets[row] : offsets[row + 1]].tobytes() if spans else None, spans
+
+
 def scan(docs: DataFrame, field: Field | None = None, *, text: str = "text") -> DataFrame:
     """doc_id and `spans`: an array of (kind, start, end), code points, by start, then kind; base spans, and the field's where none overlaps."""
-    model = field or fit(docs, text=text)
-    shape, word, file, edge = (x.astype(np.float32) for x in (model.shape, model.word, model.file, model.edge))
+    weights = (field or fit(docs, text=text)).light()
 
     def run(batches):
-        own = Field()
-        own.shape, own.word, own.file, own.edge = shape, word, file, edge
         for batch in batches:
-            kinds, starts, ends, many = [], [], [], []
-            for _, _, data, offsets in raw_slices(batch.column(1), 1_500_000):
-                found = _scan(data, offsets)
-                tokens = Tokens(data, offsets)
-                scores = own.emissions(tokens.shape, tokens.word, tokens.file[tokens.rows()], tokens.first) if len(tokens.starts) else np.zeros((0, 3))
-                more = _model_spans(decode(scores, edge.astype(float), tokens.first), tokens, offsets)
-                for row in range(len(offsets) - 1):
-                    spans = found[row][1] if row in found else []
-                    if row in more:
-                        raw = data[offsets[row] : offsets[row + 1]].tobytes()
-                        held, added = list(spans), []
-                        for x, y in more[row]:
-                            a = len(raw[:x].decode(errors="ignore"))
-                            b = a + len(raw[x:y].decode(errors="ignore"))
-                            if not any(s < b and a < e for s, _, e in held):
-                                added.append((a, 3, b))
-                        spans = sorted(held + added)
-                    many.append(len(spans))
-                    starts += [s for s, _, _ in spans]
-                    kinds += [KINDS[k] for _, k, _ in spans]
-                    ends += [e for _, _, e in spans]
-            item = pa.StructArray.from_arrays([pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=["kind", "start", "end"])
-            offsets_ = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets_, item)], names=["doc_id", "spans"])
+            rows = [spans for _, spans in _found(batch.column(1), weights)]
+            flat = [s for spans in rows for s in spans]
+            item = pa.StructArray.from_arrays([pa.array([KINDS[k] for _, k, _ in flat], pa.string()), pa.array([s for s, _, _ in flat], pa.int64()), pa.array([e for _, _, e in flat], pa.int64())], names=["kind", "start", "end"])
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, item)], names=["doc_id", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
+def redact(docs: DataFrame, field: Field | None = None, *, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """docs with each secret of its texts replaced by `mark`; overlapping spans are one. Null stays null."""
+    weights, at, schema = (field or fit(docs, text=text)).light(), docs.columns.index(text), docs.schema
+
+    def cut(raw: bytes, spans: list[tuple[int, int, int]]) -> str:
+        whole, out, done = raw.decode(), [], 0
+        for start, _, end in spans:
+            if start >= done:
+                out += [whole[done:start], mark]
+            done = max(done, end)
+        return "".join([*out, whole[done:]])
+
+    def run(batches):
+        for batch in batches:
+            old = batch.column(at)
+            new = [old[i].as_py() if raw is None else cut(raw, spans) for i, (raw, spans) in enumerate(_found(old, weights))]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(new, old.type))
+
+    return docs.mapInArrow(run, schema)
+
+
 def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")

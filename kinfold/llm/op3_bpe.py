@@ -190,9 +190,9 @@ class Codec:
         """For slices of a text column: the ids of all its rows, and how many each row has."""
         for _, _, data, offsets in raw_slices(column, most):
             places, first = self.cut(data, offsets)
-            yield self._encode_pieces(data, places, first)
+            yield self.encode_pieces(data, places, first)
 
-    def _encode_pieces(self, data: np.ndarray, places: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, data: np.ndarray, places: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """places: where each piece starts, and the end; first: of each row, the number of its first piece."""
         names, example, own = np.unique(span_hashes(data, places[:-1], places[1:]), return_index=True, return_inverse=True)
         names = names.tolist()
@@ -313,7 +313,7 @@ def codec(vocabulary: str = VOCABULARY) -> Codec:
 def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY, ids: str = "token_ids") -> DataFrame:
     """docs with a column `ids` of token ids (array<int>), replacing one of that name. Null text has none."""
     held = [c for c in docs.columns if c != ids]
-    source = docs.select(*(docs[f"`{c}`"] for c in held))
+    source = docs.select(*(F.col(f"`{c}`") for c in held))
 
     def run(batches):
         tool = codec(vocabulary)
@@ -334,7 +334,7 @@ def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY,
 def decode(df: DataFrame, *, ids: str = "token_ids", out: str = "decoded", vocabulary: str = VOCABULARY) -> DataFrame:
     """df with a binary column `out`, the bytes of its token ids. Null ids give null; an id out of the vocabulary fails."""
     held = [c for c in df.columns if c != out]
-    source = df.select(*(df[f"`{c}`"] for c in held))
+    source = df.select(*(F.col(f"`{c}`") for c in held))
 
     def run(batches):
         tool = codec(vocabulary)
@@ -367,6 +367,25 @@ def digests(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, n_tokens, token_ids, round_trip (the ids decode to the text's bytes). Null text has no ids."""
+
+    def run(batches):
+        tool = codec(vocabulary)
+        for batch in batches:
+            for at, to, data, offsets in raw_slices(batch.column(1), 1_500_000):
+                places, first = tool.cut(data, offsets)
+                ids, many = tool.encode_pieces(data, places, first)
+                ends = np.concatenate([[0], np.cumsum(many)])
+                back, text_ends = tool.decode(ids), np.concatenate([[0], np.cumsum(tool.lengths[ids])])[ends]
+                body = data.tobytes()
+                same = [back[text_ends[i] : text_ends[i + 1]] == body[offsets[i] : offsets[i + 1]] for i in range(to - at)]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(many), lists, pa.array(same, pa.bool_())], names=["doc_id", "n_tokens", "token_ids", "round_trip"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
+
+
 def token_counts(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens."""
 

@@ -165,7 +165,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """docs with `expected_grade`, `tail_probability` (of grade `GOOD` or more) and `keep`; columns of these names are replaced."""
     new = ("expected_grade", "tail_probability", "keep")
     held = [c for c in docs.columns if c not in new]
-    source = docs.select(*(docs[f"`{c}`"] for c in held))
+    source = docs.select(*(F.col(f"`{c}`") for c in held))
     parts = (model.places, model.weights.astype(np.float32), model.surface, model.thresholds)
 
     def run(batches):
@@ -182,6 +182,20 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     return source.mapInArrow(run, T.StructType([*source.schema.fields, *fields]))
 
 
+def select(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """The rows of docs, with their columns, whose tail probability is `KEEP_AT` or more."""
+    parts, at = (model.places, model.weights.astype(np.float32), model.surface, model.thresholds), docs.columns.index(text)
+
+    def run(batches):
+        own = Model(*parts)
+        for batch in batches:
+            keep = [own.tails(own.scores(data, offsets))[:, GOOD - 1] >= KEEP_AT for _, _, data, offsets in raw_slices(batch.column(at), 1_500_000)]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
