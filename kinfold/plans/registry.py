@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from . import linkage
+
 
 def queries() -> dict[str, Callable]:
-    return {}
+    return dict(linkage.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(linkage.ORACLES)
