@@ -93,3 +93,41 @@ links AS (SELECT a.entity_id AS source1_entity_id, b.entity_id AS matched_entity
 
 
 PASS_NAMES = list(PASSES)
+
+_W = "list_filter(string_split({0}, ' '), lambda x: x <> '')"
+_LONGEST = "coalesce(list_sort(list_transform(list_filter({0}, lambda x: length(x) = list_max(list_transform({0}, lambda y: length(y)))), lambda x: {{'p': list_position({0}, x), 'x': x}}))[1].x, '')"
+
+#: Set features of the pairs of one pass, and a score that SQL can compute from them.
+SCORED = f"""{blocking(only="name_pair")},
+fx AS (SELECT p.*, a.country, a.name_core AS a_name_core, b.name_core AS b_name_core, a.addr_norm AS a_addr_norm, b.addr_norm AS b_addr_norm, a.postcode AS apc, b.postcode AS bpc,
+  list_distinct({_W.format("a.name_core")}) AS ant, list_distinct({_W.format("b.name_core")}) AS bnt, list_distinct({_W.format("a.addr_norm")}) AS aat, list_distinct({_W.format("b.addr_norm")}) AS bat,
+  {_W.format("a.addr_nums")} AS ann, {_W.format("b.addr_nums")} AS bnn, {_W.format("a.name_core")}[1] AS af, {_W.format("b.name_core")}[1] AS bf
+  FROM pairs p JOIN norm a ON a.entity_id = s1_entity_id JOIN norm b ON b.entity_id = candidate_entity_id),
+fy AS (SELECT *, len(list_intersect(ant, bnt)) AS nc, len(list_intersect(aat, bat)) AS ac, len(list_intersect(ann, bnn)) AS mc, len(ant) > 0 AND len(bnt) > 0 AS nf, len(aat) > 0 AND len(bat) > 0 AS af2, len(ann) > 0 AND len(bnn) > 0 AS mf FROM fx),
+ft AS (SELECT s1_entity_id, candidate_entity_id, country, passes, n_passes, a_name_core, b_name_core, b_addr_norm,
+  CAST(a_name_core = b_name_core AS INT) AS name_exact, round(CASE WHEN nf THEN nc / (len(ant) + len(bnt) - nc) ELSE 0.0 END, 6) AS name_tok_jacc, CAST(coalesce(nf AND af = bf, false) AS INT) AS name_first_eq,
+  CAST(abs(length(a_name_core) - length(b_name_core)) AS INT) AS name_len_diff, CAST(length(a_name_core) - length(replace(a_name_core, ' ', '')) + 1 AS INT) AS name_ntok_a, CAST(length(b_name_core) - length(replace(b_name_core, ' ', '')) + 1 AS INT) AS name_ntok_b,
+  CAST(a_addr_norm = '' AS INT) AS addr_empty_a, CAST(b_addr_norm = '' AS INT) AS addr_empty_b, round(CASE WHEN af2 THEN ac / len(aat) ELSE 0.0 END, 6) AS addr_contain_a, round(CASE WHEN af2 THEN ac / len(bat) ELSE 0.0 END, 6) AS addr_contain_b,
+  CAST(len(bnn) > 0 AND mc = len(bnn) AS INT) AS num_subset_b, CAST(mf AS INT) AS num_both, CAST(CASE WHEN mf THEN mc ELSE 0 END AS INT) AS num_common, round(CASE WHEN mf THEN mc / (len(ann) + len(bnn) - mc) ELSE 0.0 END, 6) AS num_jacc,
+  CAST(mf AND {_LONGEST.format("ann")} = {_LONGEST.format("bnn")} AS INT) AS num_long_eq, CAST(mf AND mc = 0 AS INT) AS num_conflict, CAST(apc <> '' AND bpc <> '' AND apc = bpc AS INT) AS pc_eq, CAST(apc <> '' AND bpc <> '' AND apc <> bpc AS INT) AS pc_conflict,
+  CAST(candidate_entity_id LIKE 'S3-%' AS INT) AS cand_is_s3 FROM fy),
+scores AS (SELECT s1_entity_id, candidate_entity_id, country, n_passes, b_name_core, b_addr_norm, round((name_tok_jacc + addr_contain_a) / 2, 6) AS score FROM ft),
+entities AS (SELECT entity_id AS s1_entity_id, country FROM rec WHERE sn = 1)"""
+
+
+def selected(threshold: str = "0.5", top1: str = "NULL", one_owner: bool = True, within: str = "", source: str = "scores", name: str = "sel") -> str:
+    """CTEs that end in `name`: the kept pairs."""
+    by = f"{within}, " if within else ""
+    owner = f"QUALIFY row_number() OVER (PARTITION BY {by}candidate_entity_id ORDER BY score DESC, s1_entity_id) = 1" if one_owner else ""
+    return f"""{name}0 AS (SELECT * FROM (SELECT *, {threshold} AS thr, CAST({top1} AS DOUBLE) AS t1 FROM {source}) WHERE score >= least(thr, coalesce(t1, thr)) {owner}),
+{name} AS (SELECT * EXCLUDE (thr, t1, k) FROM (SELECT *, row_number() OVER (PARTITION BY {by}s1_entity_id ORDER BY score DESC, candidate_entity_id) AS k FROM {name}0) WHERE score >= thr OR (t1 IS NOT NULL AND k = 1))"""
+
+
+def by_entity(source: str = "sel", name: str = "ent", within: str = "", points: str = "") -> str:
+    """CTEs that end in `name`: every entity's figures (at every point of the grid)."""
+    by, use = (f"{within}, ", f", {within}") if within else ("", "")
+    frame = f"(SELECT * FROM entities CROSS JOIN {points})" if points else "entities"
+    return f"""{name}p AS (SELECT {by}s1_entity_id, count(*) AS n_pred, count(matched_entity_id) AS tp FROM {source} LEFT JOIN links ON s1_entity_id = source1_entity_id AND candidate_entity_id = matched_entity_id GROUP BY ALL),
+{name}t AS (SELECT source1_entity_id AS s1_entity_id, count(*) AS n_true FROM links GROUP BY ALL),
+{name}0 AS (SELECT f.*, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp FROM {frame} f LEFT JOIN {name}t USING (s1_entity_id) LEFT JOIN {name}p USING (s1_entity_id{use})),
+{name} AS (SELECT *, n_pred - tp AS fp, n_true - tp AS fn, CASE WHEN tp > 0 THEN 1.25 * (tp / n_pred) * (tp / n_true) / (0.25 * (tp / n_pred) + tp / n_true) WHEN n_pred = 0 AND n_true = 0 THEN 1.0 ELSE 0.0 END AS f05 FROM {name}0)"""
