@@ -11,8 +11,10 @@ that it could agree in these alone also gives their names). Cells travel as sort
 
 1. In each cell all meet the least one (a star, not all pairs); bound, verification, components of the links.
 2. Cells that still hold several components go into R-trees of points (packed by size and leading counts, nodes with
-   their coordinates' extremes); a join of the tree with itself gives the pairs of different components within the bound,
-   which are verified. After that every pair of linked sets is in one component.
+   their coordinates' extremes); a join of the tree with itself gives the pairs of different components within the bound.
+   In the first `FORESTS` rounds each cell sends only as many of them as could join its components, the most similar
+   first; they are verified, components grow together, and pairs that failed are left out. The last round sends all
+   that remain. After that every pair of linked sets is in one component.
 
 Equal sets are one class from the start, so exact copies cost nothing more. Similarity is compared in integers.
 A text without words has no set and links with nothing; null text is such a text. Rows without a doc_id get their set's
@@ -35,6 +37,7 @@ SHINGLE, PER_CENT = 4, 85
 GROUPS = 256
 FANOUT = 32
 FLUSH = 3_000_000
+FORESTS = 3
 _GROWTH = 1.5
 
 
@@ -200,10 +203,10 @@ class Tree:
             starts = np.arange(0, len(low), FANOUT)
             self.levels.append((np.maximum.reduceat(high, starts), np.minimum.reduceat(low, starts)))
 
-    def pairs(self, per_cent: int, apart: np.ndarray) -> np.ndarray:
-        """Pairs of points (as numbered on the way in) within the bound and with different marks in `apart`."""
+    def pairs(self, per_cent: int, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of points (as numbered on the way in) within the bound and with different marks in `apart`; their similarity at most."""
         apart = apart[self.order]
-        out = [np.zeros((0, 2), np.int64)]
+        out, most = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
         stack = [(len(self.levels) - 1, 0, 0)] if len(self.sizes) > 1 else []
         while stack:
             level, i, j = stack.pop()
@@ -220,11 +223,34 @@ class Tree:
             else:
                 ok = (a < b) & (apart[a] != apart[b])
                 out.append(np.stack([self.order[a[ok]], self.order[b[ok]]], 1))
-        return np.concatenate(out)
+                shared = both[a[ok] - x.start, b[ok] - y.start]
+                most.append(shared / (low[a[ok]] + low[b[ok]] - shared))
+        return np.concatenate(out), np.concatenate(most)
 
 
-def _tree_pairs(per_cent: int):
-    def run(key, rows):
+def _forest(pairs: np.ndarray, most: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Those pairs, most similar first, that join what no pair before has joined."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    held = []
+    for i in np.lexsort((pairs[:, 1], pairs[:, 0], -most)).tolist():
+        a, b = root(int(marks[pairs[i, 0]])), root(int(marks[pairs[i, 1]]))
+        if a != b:
+            up[b] = a
+            held.append(i)
+    return pairs[held]
+
+
+def _tree_pairs(per_cent: int, forest: bool):
+    """part, a, b: pairs to verify in a part's cells; not those that failed there before."""
+
+    def run(key, rows, failed):
         cell = rows.column("cell").to_numpy()
         order = np.argsort(cell, kind="stable")
         cell = cell[order]
@@ -232,12 +258,17 @@ def _tree_pairs(per_cent: int):
         points = rows.column("points").take(pa.array(order)).to_pylist()
         first = np.flatnonzero(np.diff(cell, prepend=~cell[:1])) if len(cell) else np.zeros(0, np.int64)
         found = [np.zeros((0, 2), np.int64)]
+        gone = {*zip(failed.column("a").to_pylist(), failed.column("b").to_pylist(), strict=True)}
         for a, b in zip(first, np.append(first[1:], len(cell)), strict=True):
             tree = Tree(np.stack([unpacked(p, np.uint32) for p in points[a:b]]), size[a:b])
-            got = cls[a:b][tree.pairs(per_cent, mark[a:b])]
-            found.append(np.sort(got.reshape(-1, 2), 1))
+            pairs, most = tree.pairs(per_cent, mark[a:b])
+            names = np.sort(cls[a:b][pairs].reshape(-1, 2), 1)
+            if gone and len(names):
+                new = np.array([p not in gone for p in map(tuple, names.tolist())])
+                pairs, most, names = pairs[new], most[new], names[new]
+            found.append(np.sort(cls[a:b][_forest(pairs, most, mark[a:b])].reshape(-1, 2), 1) if forest else names)
         pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        return pa.Table.from_arrays([pa.array(np.full(len(pairs), key[0].as_py(), np.int64)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["part", "a", "b"])
 
     return run
 
@@ -318,16 +349,25 @@ def linked(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE, per_c
     links = kept(_verified(_within(star, sets, per_cent), sets, per_cent).distinct(), "links")
     comps = kept(components(links), "components")
 
-    cells = met.filter("cell is not null").select("cell", F.col("a").alias("cls")).distinct()
-    marked = cells.join(comps, cells["cls"] == comps["node"], "left").select("cell", "cls", F.coalesce("comp", "cls").alias("comp"))
-    marked = kept(marked, "cells")
-    mixed = marked.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("center")).filter("lo <> hi")
-    open_ = marked.join(mixed.select("cell", "center"), "cell").filter("cls <> center").join(sets.select("cls", "n", "points").dropDuplicates(["cls"]), "cls")
-    dealt = open_.withColumn("part", F.pmod(F.col("cell"), F.lit(width)))
-    pairs = dealt.groupBy("part").applyInArrow(_tree_pairs(per_cent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    more = kept(_verified(pairs, sets, per_cent).distinct(), "more-links")
-    if more.limit(1).count():
-        comps = kept(components(links.unionByName(more)), "components")
+    cells = kept(met.filter("cell is not null").select("cell", F.col("a").alias("cls")).distinct(), "cells")
+    small, failed, n_round = sets.select("cls", "n", "points").dropDuplicates(["cls"]), star.limit(0).select(F.lit(0).cast("long").alias("part"), "a", "b"), 0
+    while True:
+        marked = cells.join(comps, cells["cls"] == comps["node"], "left").select("cell", "cls", F.coalesce("comp", "cls").alias("comp"))
+        mixed = marked.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("center")).filter("lo <> hi")
+        open_ = marked.join(mixed.select("cell", "center"), "cell").filter("cls <> center").join(small, "cls")
+        dealt = open_.withColumn("part", F.pmod(F.col("cell"), F.lit(width)))
+        pairs = kept(dealt.groupBy("part").cogroup(failed.groupBy("part")).applyInArrow(_tree_pairs(per_cent, n_round < FORESTS), "part long, a long, b long"), "pairs")
+        if not pairs.limit(1).count():
+            break
+        more = kept(_verified(pairs.select("a", "b").distinct(), sets, per_cent).distinct(), "more-links")
+        grown = more.limit(1).count() > 0
+        if grown:
+            links = links.unionByName(more)
+            comps = kept(components(links), "components")
+        if n_round >= FORESTS:
+            break
+        n_round = n_round + 1 if grown else FORESTS  # where a forest joined nothing, the rest goes at once
+        failed = failed.unionByName(pairs.join(more, ["a", "b"], "left_anti").select("part", "a", "b"))
 
     placed = signed.join(comps, signed["cls"] == comps["node"], "left").select("doc_id", "n_shingles", "cls", F.when(F.col("n_shingles") > 0, F.coalesce("comp", "cls")).alias("root"))
     least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
