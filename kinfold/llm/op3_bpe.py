@@ -216,6 +216,8 @@ class Codec:
 
         That pattern is: a contraction; letters, numbers or other signs, each with a space before them or without; and
         white space, of which a run leaves its last character to what follows."""
+        if not len(data):
+            return np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
         if not self.usual:
             return self._cut_by_pattern(data, offsets)
         signs = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
