@@ -12,9 +12,12 @@ that it could agree in these alone also gives their names). Cells travel as sort
 1. In each cell all meet the least one (a star, not all pairs); bound, verification, components of the links.
 2. Cells that still hold several components go into R-trees of points (packed by size and leading counts, nodes with
    their coordinates' extremes); a join of the tree with itself gives the pairs of different components within the bound.
-   In the first `FORESTS` rounds each cell sends only as many of them as could join its components, the most similar
-   first; they are verified, components grow together, and pairs that failed are left out. The last round sends all
-   that remain. After that every pair of linked sets is in one component.
+   In the first `FORESTS` rounds a cell with more than `FEW` of them a member sends only as many as could join its
+   components, the most similar first; they are verified, components grow together, and only such cells come back,
+   without the pairs that failed. The last round sends all that remain. After that every pair of linked sets is in one component.
+
+Verification bounds the overlap a second time, by counts in `FINE` groups a shingle or more: such a fine point takes an
+eighth of its set's bytes, and what it allows is nearly always a link. Only for these pairs do the sets travel.
 
 Equal sets are one class from the start, so exact copies cost nothing more. Similarity is compared in integers.
 A text without words has no set and links with nothing; null text is such a text. Rows without a doc_id get their set's
@@ -38,6 +41,8 @@ GROUPS = 256
 FANOUT = 32
 FLUSH = 3_000_000
 FORESTS = 3
+FINE = 16
+FEW = 8
 _GROWTH = 1.5
 
 
@@ -248,7 +253,7 @@ def _forest(pairs: np.ndarray, most: np.ndarray, marks: np.ndarray) -> np.ndarra
 
 
 def _tree_pairs(per_cent: int, forest: bool):
-    """part, a, b: pairs to verify in a part's cells; not those that failed there before."""
+    """part, a, b: pairs to verify in a part's cells; not those that failed there before. A cell that holds more gives its name as a, b null."""
 
     def run(key, rows, failed):
         cell = rows.column("cell").to_numpy()
@@ -256,52 +261,67 @@ def _tree_pairs(per_cent: int, forest: bool):
         cell = cell[order]
         cls, mark, size = (rows.column(c).to_numpy()[order] for c in ("cls", "comp", "n"))
         points = rows.column("points").take(pa.array(order)).to_pylist()
-        first = np.flatnonzero(np.diff(cell, prepend=~cell[:1])) if len(cell) else np.zeros(0, np.int64)
-        found = [np.zeros((0, 2), np.int64)]
+        first = np.flatnonzero(np.diff(cell, prepend=~cell[:1]))
+        found, more = [np.zeros((0, 2), np.int64)], []
         gone = {*zip(failed.column("a").to_pylist(), failed.column("b").to_pylist(), strict=True)}
-        for a, b in zip(first, np.append(first[1:], len(cell)), strict=True):
+        for a, b in zip(first, np.append(first, len(cell))[1:], strict=True):
             tree = Tree(np.stack([unpacked(p, np.uint32) for p in points[a:b]]), size[a:b])
             pairs, most = tree.pairs(per_cent, mark[a:b])
             names = np.sort(cls[a:b][pairs].reshape(-1, 2), 1)
             if gone and len(names):
                 new = np.array([p not in gone for p in map(tuple, names.tolist())])
                 pairs, most, names = pairs[new], most[new], names[new]
-            found.append(np.sort(cls[a:b][_forest(pairs, most, mark[a:b])].reshape(-1, 2), 1) if forest else names)
+            if forest and len(names) > FEW * (b - a):
+                names = np.sort(cls[a:b][_forest(pairs, most, mark[a:b])].reshape(-1, 2), 1)
+                more.append(int(cell[a]))
+            found.append(names)
         pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.Table.from_arrays([pa.array(np.full(len(pairs), key[0].as_py(), np.int64)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["part", "a", "b"])
+        a, b = [*pairs[:, 0].tolist(), *more], [*pairs[:, 1].tolist(), *[None] * len(more)]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["part", "a", "b"])
 
     return run
 
 
-def _within(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs whose points allow the similarity."""
-    small = sets.select("cls", "n", "points")
-    left, right = (small.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("points").alias(f"p{c}")) for c in "ab")
+def fine_point(hashes: np.ndarray) -> np.ndarray:
+    """The groups of a set's shingles among `FINE` groups a shingle or more (a power of two): a sparse count vector, in order."""
+    return hashes >> np.uint64(64 - fine_bits(len(hashes)))
 
-    def run(batches):
-        for batch in batches:
-            own = [[unpacked(x.as_py(), np.uint32) for x in batch.column(i)] for i in (3, 5)]
-            both = np.array([np.minimum(x, y).sum() for x, y in zip(*own, strict=True)], np.int64)
-            n, m = (batch.column(i).to_numpy() for i in (2, 4))
-            yield batch.select([0, 1]).filter(pa.array(_bound(both, n, m, per_cent)))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "na", "pa", "nb", "pb").mapInArrow(run, "a long, b long")
+def fine_bits(n: int) -> int:
+    return max(8, (FINE * n - 1).bit_length())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Pairs whose sets are similar enough."""
-    left, right = (sets.select(F.col("cls").alias(c), F.col("hashes").alias(f"h{c}")) for c in "ab")
+def fine_overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """The sum of the coordinates' minima of two fine points: never less than the intersection of their sets."""
+    bits = [fine_bits(len(v)) for v in (x, y)]
+    x, y = ((v >> np.uint64(own - min(bits))).astype(np.int64) for v, own in zip((x, y), bits, strict=True))
+    return int(np.minimum(np.bincount(x, minlength=1 << min(bits)), np.bincount(y, minlength=1 << min(bits))).sum())
+
+
+def set_overlap(x: np.ndarray, y: np.ndarray) -> int:
+    return len(np.intersect1d(x, y, assume_unique=True))
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, per_cent: int, column: str) -> DataFrame:
+    """The pairs whose fine points (column "fine": a bound) or sets (column "hashes": exact) are similar enough."""
+    left, right = (sets.select(F.col("cls").alias(c), F.col(column).alias(f"v{c}")) for c in "ab")
+    overlap = {"fine": fine_overlap, "hashes": set_overlap}[column]
 
     def run(batches):
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.cumsum(unpacked(v.as_py(), np.uint64), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(bool(_bound(both, len(x), len(y), per_cent)))
+                ok.append(bool(_bound(overlap(x, y), len(x), len(y), per_cent)))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Distinct pairs whose sets are similar enough. Whole sets travel only for pairs that the fine points allow."""
+    allowed = kept(_checked(pairs, sets, per_cent, "fine"), "allowed")
+    return _checked(allowed, sets, per_cent, "hashes").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -336,17 +356,18 @@ def linked(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE, per_c
 
     def run(batches):
         for batch in batches:
-            out: dict[str, list] = {"cls": [], "n": [], "points": [], "hashes": []}
+            out: dict[str, list] = {"cls": [], "n": [], "points": [], "fine": [], "hashes": []}
             for _, h in _sets(batch.column(0), shingle):
                 if len(h):
                     out["cls"].append(class_of(h))
                     out["n"].append(len(h))
                     out["points"].append(packed(counts_of(h)))
+                    out["fine"].append(packed(np.diff(fine_point(h), prepend=np.uint64(0))))
                     out["hashes"].append(packed(np.diff(h >> np.uint64(16), prepend=np.uint64(0))))
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema({"cls": pa.int64(), "n": pa.int64(), "points": pa.binary(), "hashes": pa.binary()}))
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema({"cls": pa.int64(), "n": pa.int64(), "points": pa.binary(), "fine": pa.binary(), "hashes": pa.binary()}))
 
-    sets = kept(named.join(holders, "doc_id", "left_semi").select("text").mapInArrow(run, "cls long, n long, points binary, hashes binary"), "sets")
-    links = kept(_verified(_within(star, sets, per_cent), sets, per_cent).distinct(), "links")
+    sets = kept(named.join(holders, "doc_id", "left_semi").select("text").mapInArrow(run, "cls long, n long, points binary, fine binary, hashes binary"), "sets")
+    links = kept(_verified(star, sets, per_cent), "links")
     comps = kept(components(links), "components")
 
     cells = kept(met.filter("cell is not null").select("cell", F.col("a").alias("cls")).distinct(), "cells")
@@ -356,16 +377,17 @@ def linked(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE, per_c
         mixed = marked.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("center")).filter("lo <> hi")
         open_ = marked.join(mixed.select("cell", "center"), "cell").filter("cls <> center").join(small, "cls")
         dealt = open_.withColumn("part", F.pmod(F.col("cell"), F.lit(width)))
-        pairs = kept(dealt.groupBy("part").cogroup(failed.groupBy("part")).applyInArrow(_tree_pairs(per_cent, n_round < FORESTS), "part long, a long, b long"), "pairs")
-        if not pairs.limit(1).count():
-            break
-        more = kept(_verified(pairs.select("a", "b").distinct(), sets, per_cent).distinct(), "more-links")
+        sent = kept(dealt.groupBy("part").cogroup(failed.groupBy("part")).applyInArrow(_tree_pairs(per_cent, n_round < FORESTS), "part long, a long, b long"), "pairs")
+        pairs = sent.filter("b is not null")
+        more = kept(_verified(pairs.select("a", "b").distinct(), sets, per_cent), "more-links")
         grown = more.limit(1).count() > 0
         if grown:
             links = links.unionByName(more)
             comps = kept(components(links), "components")
-        if n_round >= FORESTS:
+        left = sent.filter("b is null").select(F.col("a").alias("cell"))
+        if not left.limit(1).count():
             break
+        cells = kept(cells.join(left, "cell", "left_semi"), "cells")
         n_round = n_round + 1 if grown else FORESTS  # where a forest joined nothing, the rest goes at once
         failed = failed.unionByName(pairs.join(more, ["a", "b"], "left_anti").select("part", "a", "b"))
 
