@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .shared import Texts, raw_slices, table
 
+SLICE = 4000  # windows a step of training holds at once
 SAMPLE = 4000
 WINDOW = 24
 WINDOWS_A_DOC = 24
@@ -181,50 +182,61 @@ class Field:
         return out
 
 
-def train(windows: dict[str, np.ndarray], rounds: int = 80, rate: float = 0.5, decay: float = 2e-4) -> Field:
-    """Full-batch AdaGrad on the conditional log-likelihood. Without windows the field tags everything outside."""
-    field = Field()
+def _gradient(field: Field, windows: dict[str, np.ndarray], often: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the conditional log-likelihood of some windows, by forward and backward sums."""
     tag = windows["tag"]
     n = len(tag)
-    if not n:
-        return field
     real = tag >= 0
     shape, word = np.where(real, windows["shape"], 0), np.where(real, windows["word"], 0)
-    often = np.bincount(word[real], minlength=WORDS) >= 5
     gold = np.zeros((n, WINDOW, 3))
     np.put_along_axis(gold, np.where(real, tag, 0)[..., None], 1.0, 2)
     gold *= real[..., None]
-    total = {k: np.full_like(getattr(field, k), 1e-6) for k in ("shape", "word", "file", "edge")}
     pairs = real[:, 1:] & real[:, :-1]
+    own = field.shape[shape] + field.word[word] * often[word][..., None]
+    e = own[..., :3] + field.file[windows["file"]][:, None]
+    e[:, 1:] += own[:, :-1, 3:6] * pairs[..., None]
+    e[:, :-1] += own[:, 1:, 6:] * pairs[..., None]
+    e = np.where(real[..., None], e, [0.0, -1e3, -1e3])
+    ahead, back = np.empty_like(e), np.zeros_like(e)
+    ahead[:, 0] = e[:, 0]
+    for t in range(1, WINDOW):
+        x = ahead[:, t - 1, :, None] + field.edge
+        m = x.max(1)
+        ahead[:, t] = e[:, t] + m + np.log(np.exp(x - m[:, None]).sum(1))
+    for t in range(WINDOW - 2, -1, -1):
+        x = field.edge + (e[:, t + 1] + back[:, t + 1])[:, None]
+        m = x.max(2)
+        back[:, t] = m + np.log(np.exp(x - m[..., None]).sum(2))
+    z = ahead[:, -1].max(1) + np.log(np.exp(ahead[:, -1] - ahead[:, -1].max(1, keepdims=True)).sum(1))
+    miss = (gold - np.exp(ahead + back - z[:, None, None])) * real[..., None]
+    both = np.exp(ahead[:, :-1, :, None] + field.edge + (e[:, 1:] + back[:, 1:])[:, :, None] - z[:, None, None, None])
+    step = {"edge": ((gold[:, :-1, :, None] * gold[:, 1:, None] - both) * pairs[..., None, None]).sum((0, 1))}
+    step["file"] = np.zeros((FILES, 3))
+    np.add.at(step["file"], windows["file"], miss.sum(1))
+    wide = np.zeros((n, WINDOW, 9))
+    wide[..., :3] = miss
+    wide[:, :-1, 3:6] = miss[:, 1:] * pairs[..., None]
+    wide[:, 1:, 6:] = miss[:, :-1] * pairs[..., None]
+    for k, ids, size in (("shape", shape, SHAPES), ("word", word, WORDS)):
+        g = np.stack([np.bincount(ids[real], wide[..., c][real], size) for c in range(9)], 1)
+        step[k] = g * often[:, None] if k == "word" else g
+    return step
+
+
+def train(windows: dict[str, np.ndarray], rounds: int = 80, rate: float = 0.5, decay: float = 2e-4) -> Field:
+    """Full-batch AdaGrad on the conditional log-likelihood. Without windows the field tags everything outside."""
+    field = Field()
+    tag = windows["tag"]
+    n = len(tag)
+    if not n:
+        return field
+    often = np.bincount(windows["word"][tag >= 0], minlength=WORDS) >= 5
+    total = {k: np.full_like(getattr(field, k), 1e-6) for k in ("shape", "word", "file", "edge")}
     for _ in range(rounds):
-        own = field.shape[shape] + field.word[word] * often[word][..., None]
-        e = own[..., :3] + field.file[windows["file"]][:, None]
-        e[:, 1:] += own[:, :-1, 3:6] * pairs[..., None]
-        e[:, :-1] += own[:, 1:, 6:] * pairs[..., None]
-        e = np.where(real[..., None], e, [0.0, -1e3, -1e3])
-        ahead, back = np.empty_like(e), np.zeros_like(e)
-        ahead[:, 0] = e[:, 0]
-        for t in range(1, WINDOW):
-            x = ahead[:, t - 1, :, None] + field.edge
-            m = x.max(1)
-            ahead[:, t] = e[:, t] + m + np.log(np.exp(x - m[:, None]).sum(1))
-        for t in range(WINDOW - 2, -1, -1):
-            x = field.edge + (e[:, t + 1] + back[:, t + 1])[:, None]
-            m = x.max(2)
-            back[:, t] = m + np.log(np.exp(x - m[..., None]).sum(2))
-        z = ahead[:, -1].max(1) + np.log(np.exp(ahead[:, -1] - ahead[:, -1].max(1, keepdims=True)).sum(1))
-        miss = (gold - np.exp(ahead + back - z[:, None, None])) * real[..., None]
-        both = np.exp(ahead[:, :-1, :, None] + field.edge + (e[:, 1:] + back[:, 1:])[:, :, None] - z[:, None, None, None])
-        step = {"edge": ((gold[:, :-1, :, None] * gold[:, 1:, None] - both) * pairs[..., None, None]).sum((0, 1))}
-        step["file"] = np.zeros((FILES, 3))
-        np.add.at(step["file"], windows["file"], miss.sum(1))
-        wide = np.zeros((n, WINDOW, 9))
-        wide[..., :3] = miss
-        wide[:, :-1, 3:6] = miss[:, 1:] * pairs[..., None]
-        wide[:, 1:, 6:] = miss[:, :-1] * pairs[..., None]
-        for k, ids, size in (("shape", shape, SHAPES), ("word", word, WORDS)):
-            g = np.stack([np.bincount(ids[real], wide[..., c][real], size) for c in range(9)], 1)
-            step[k] = g * often[:, None] if k == "word" else g
+        step = {k: np.zeros_like(w) for k, w in total.items()}
+        for at in range(0, n, SLICE):
+            for k, g in _gradient(field, {k: w[at : at + SLICE] for k, w in windows.items()}, often).items():
+                step[k] += g
         for k, g in step.items():
             w = getattr(field, k)
             g = g - decay * n * w

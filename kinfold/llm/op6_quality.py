@@ -103,7 +103,9 @@ def train(grade: np.ndarray, row: np.ndarray, place: np.ndarray, value: np.ndarr
     number = np.full(len(names), -1)
     number[often] = np.arange(len(often))
     held = number[own] >= 0
-    row, at, value = row[held], number[own][held], value[held]
+    row, at, value = row[held].astype(np.int64), number[own[held]], value[held]
+    names = names[often].astype(np.int64)
+    del own, held, place, number
     size = np.bincount(grade, minlength=GRADES)
     weight = np.sqrt(n / (GRADES * np.maximum(size, 1)))[grade]
     weight /= weight.sum()
@@ -127,7 +129,7 @@ def train(grade: np.ndarray, row: np.ndarray, place: np.ndarray, value: np.ndarr
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
             x[k] += rate * (0.1 if k == "t" else 1) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
-    return Model(names[often], x["w"], x["s"], np.array([x["t"][0], x["t"][0] + np.exp(x["t"][1])]))
+    return Model(names, x["w"], x["s"], np.array([x["t"][0], x["t"][0] + np.exp(x["t"][1])]))
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -158,7 +160,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", sample: int =
         return train(np.zeros(0, int), *(np.zeros(0, int) for _ in range(3)), np.zeros((0, SURFACE), int))
     flat = lambda c: got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     many = got.column("place").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    return train(got.column("grade").to_numpy().astype(int), np.repeat(np.arange(len(got)), many), flat("place").astype(np.int64), flat("value").astype(float), flat("bins").reshape(-1, SURFACE).astype(np.int64))
+    grade, row = got.column("grade").to_numpy().astype(int), np.repeat(np.arange(len(got), dtype=np.int32), many)
+    place, value, bins = flat("place"), flat("value"), flat("bins").reshape(-1, SURFACE).astype(np.int64)  # four bytes an entry, to spare the driver
+    del got, many
+    return train(grade, row, place, value, bins)
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
