@@ -153,6 +153,15 @@ def test_tree_finds_every_pair_within_the_bound():
     assert got == {(i, j) for i in range(300) for j in range(i + 1, 300) if fit[i, j]}
 
 
+def test_fine_points_bound_the_overlap():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        n, m, k = (int(v) for v in rng.integers(1, 900, 3))
+        x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[:k], rng.integers(0, 2**64, m, dtype=np.uint64)]))
+        assert op2_ngram_join.fine_overlap(op2_ngram_join.fine_point(x), op2_ngram_join.fine_point(y)) >= op2_ngram_join.set_overlap(x, y)
+
+
 def test_bpe_against_library(documents):
     import public_tokenizers
     import tiktoken
