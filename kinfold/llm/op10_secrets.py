@@ -101,10 +101,12 @@ def _scan(data: np.ndarray, offsets: np.ndarray) -> dict[int, tuple[str, list]]:
             row = int(np.searchsorted(offsets, at, "right")) - 1
             hits.append(row)
             at = where.find(cue, int(offsets[row + 1]) if row + 1 < len(offsets) else len(body))
-    plain = np.concatenate([[False], _FLAGS["hex"][data] & ~_FLAGS["upper"][data], [False]])
-    edge = np.flatnonzero(plain[1:] != plain[:-1])
-    long = edge[0::2][edge[1::2] - edge[0::2] >= 16]  # runs may cross rows; that only looks at a row too many
-    hits += (np.searchsorted(offsets, long, "right") - 1).tolist() + (np.searchsorted(offsets, long + 15, "right") - 1).tolist()
+    plain = _FLAGS["hex"][data] & ~_FLAGS["upper"][data]
+    fresh = np.zeros(len(data) + 1, bool)  # runs end at the edges of rows
+    fresh[offsets] = True
+    begins = np.flatnonzero(plain & (fresh[:-1] | ~np.concatenate([[False], plain[:-1]])))
+    ends = np.flatnonzero(plain & (fresh[1:] | ~np.concatenate([plain[1:], [False]]))) + 1
+    hits += (np.searchsorted(offsets, begins[ends - begins >= 16], "right") - 1).tolist()
     out = {}
     for row in sorted(set(hits)):
         text = body[offsets[row] : offsets[row + 1]].decode()

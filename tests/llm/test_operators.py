@@ -305,6 +305,15 @@ def test_secrets(spark, odd):
     assert op10_secrets.scan(odd).count() == len(ODD) and op10_secrets.scan(odd.limit(0)).count() == 0 and op10_secrets.redact(odd).columns == odd.columns
 
 
+def test_scan_finds_base_spans_of_adjacent_rows():
+    digests = [f"{i:064x}"[::-1] for i in range(1, 6)]
+    texts = [*digests, "card 4644348398010899", "8294846167456848 Inl", "", "a1" * 5, "b2" * 5, "é " + "0" * 16, "", "f" * 15 + "F", "c" * 16, "pass", "word=abcdefghijkl", "token=abcdefghijkl"]
+    for held in (texts, digests, [""], ["", ""], ["a" * 16], texts[::-1]):
+        for _, _, data, offsets in op10_secrets.raw_slices(pa.array(held), 1_000_000):
+            found = op10_secrets._scan(data, offsets)
+            assert {row: spans for row, (_, spans) in found.items()} == {i: spans for i, t in enumerate(held) if (spans := op10_secrets.base_spans(t))}
+
+
 def test_viterbi_against_plain_dynamic_programme():
     rng = np.random.default_rng(5)
     for _ in range(200):
