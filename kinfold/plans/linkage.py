@@ -27,13 +27,20 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Registers a function of (spark, sf_dir) with its SQL, if it has any."""
+#: What the one-pass queries of missed links keep of the candidates; those of all passes keep all.
+_ONE_SOURCE = " WHERE candidate_entity_id LIKE 'S2-%'"
+
+
+def query(name: str, sql: str | None = None, all_passes: bool = True):
+    """Registers a function of (spark, sf_dir) with its SQL, if it has any; what stands on the pairs of one pass also over those of all, as `{name}_all_passes`."""
 
     def put(f):
         QUERIES[name] = f
         if sql is not None:
             ORACLES[name] = sql
+            if all_passes and S.SCORED in sql:
+                QUERIES[f"{name}_all_passes"] = partial(f, only=None)
+                ORACLES[f"{name}_all_passes"] = sql.replace(S.SCORED, S.scored(None)).replace(_ONE_SOURCE, "")
         return f
 
     return put
@@ -90,7 +97,9 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
     return B.labelled(candidates(spark, d), R.true_links(spark, d))
 
 
-# --- features, context, selection, metrics: over the pairs of one pass, with a score that SQL can compute
+# --- features, context, selection, metrics: over the pairs of one pass or of all, with a score that SQL can compute
+
+ONE = "name_pair"
 
 ROUNDED = ("name_tok_jacc", "addr_contain_a", "addr_contain_b", "num_jacc")
 SET_FEATURES = ["name_exact", "name_tok_jacc", "name_first_eq", "name_len_diff", "name_ntok_a", "name_ntok_b", "addr_empty_a", "addr_empty_b", "addr_contain_a", "addr_contain_b", "num_subset_b", "num_both", "num_common", "num_jacc", "num_long_eq", "num_conflict", "pc_eq", "pc_conflict", "cand_is_s3"]
@@ -100,15 +109,15 @@ def r6(*columns: str) -> list:
     return [F.round(c, 6).alias(c) for c in columns]
 
 
-def set_features(spark: SparkSession, d: str) -> DataFrame:
+def set_features(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
     norm = R.stored_norm(spark, d)
-    made = X.with_sets(X.attached(candidates(spark, d, only="name_pair"), norm)).join(norm.select(F.col("entity_id").alias("s1_entity_id"), "country"), "s1_entity_id")
+    made = X.with_sets(X.attached(candidates(spark, d, only=only), norm)).join(norm.select(F.col("entity_id").alias("s1_entity_id"), "country"), "s1_entity_id")
     return made.withColumns({c: F.round(c, 6) for c in ROUNDED})
 
 
-def scores(spark: SparkSession, d: str) -> DataFrame:
+def scores(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
     score = F.round((F.col("name_tok_jacc") + F.col("addr_contain_a")) / 2, 6)
-    return stored(set_features(spark, d).select("s1_entity_id", "candidate_entity_id", "country", "n_passes", "b_name_core", "b_addr_norm", score.alias("score")), "scores")
+    return stored(set_features(spark, d, only).select("s1_entity_id", "candidate_entity_id", "country", "n_passes", "b_name_core", "b_addr_norm", score.alias("score")), "scores")
 
 
 def entities(spark: SparkSession, d: str) -> DataFrame:
@@ -116,11 +125,11 @@ def entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("features_sets", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, {', '.join(SET_FEATURES)} FROM ft")
-def _sets(spark, d):
-    return set_features(spark, d).select("s1_entity_id", "candidate_entity_id", *SET_FEATURES)
+def _sets(spark, d, only=ONE):
+    return set_features(spark, d, only).select("s1_entity_id", "candidate_entity_id", *SET_FEATURES)
 
 
-@query("features_jaro_winkler", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, round(CASE WHEN a_name_core = b_name_core THEN 1.0 ELSE jaro_winkler_similarity(a_name_core, b_name_core) END, 6) AS name_jw FROM ft")
+@query("features_jaro_winkler", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, round(CASE WHEN a_name_core = b_name_core THEN 1.0 ELSE jaro_winkler_similarity(a_name_core, b_name_core) END, 6) AS name_jw FROM ft", all_passes=False)  # DuckDB compares bytes, so that other letters than a-z differ; features_all has it for all passes
 def _jw(spark, d):
     return set_features(spark, d).select("s1_entity_id", "candidate_entity_id", F.round(similarity("jaro_winkler", F.col("a_name_core"), F.col("b_name_core")), 6).alias("name_jw"))
 
@@ -129,20 +138,20 @@ _RANKS = ", ".join(f"rank() OVER (PARTITION BY s1_entity_id ORDER BY {e} DESC) A
 
 
 @query("features_group", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, count(*) OVER w AS n_cands, {_RANKS}, CAST(sum(CAST(addr_contain_a >= 0.5 AS INT)) OVER w AS BIGINT) AS n_addr_strong, CAST(sum(CAST(name_tok_jacc >= 0.5 AS INT)) OVER w AS BIGINT) AS n_name_strong FROM ft WINDOW w AS (PARTITION BY s1_entity_id)")
-def _group(spark, d):
-    made = X.with_group(set_features(spark, d), name="name_tok_jacc", addr="addr_contain_a", strong=0.5)
+def _group(spark, d, only=ONE):
+    made = X.with_group(set_features(spark, d, only), name="name_tok_jacc", addr="addr_contain_a", strong=0.5)
     ranks = [F.col(f"{n}_rank").cast("long").alias(f"{n}_rank") for n in ("name_tset", "addr_tset", "combo")]
     return made.select("s1_entity_id", "candidate_entity_id", "n_cands", *ranks, *r6("name_tset_gap", "addr_tset_gap", "combo_gap"), "n_addr_strong", "n_name_strong")
 
 
 @query("features_missing_ids", f"WITH {S.SCORED}, ids AS (SELECT s1_entity_id AS entity_id FROM pairs UNION SELECT candidate_entity_id FROM pairs) SELECT entity_id FROM ids WHERE entity_id NOT IN (SELECT entity_id FROM norm)")
-def _missing(spark, d):
-    return X.missing(candidates(spark, d, only="name_pair"), R.norm(spark, d))
+def _missing(spark, d, only=ONE):
+    return X.missing(candidates(spark, d, only=only), R.norm(spark, d))
 
 
 @query("features_all")
 def _all_features(spark, d):
-    return X.features(candidates(spark, d, only="name_pair"), R.stored_norm(spark, d))
+    return X.features(candidates(spark, d), R.stored_norm(spark, d))
 
 
 @query(
@@ -151,19 +160,19 @@ def _all_features(spark, d):
     "coalesce(nth_value(score, 2) OVER (PARTITION BY s1_entity_id ORDER BY score DESC, candidate_entity_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) AS s1_second, "
     "CAST(sum(CAST(score >= 0.5 AS INT)) OVER w AS BIGINT) AS s1_n_ge50, CAST(sum(CAST(score >= 0.2 AS INT)) OVER w AS BIGINT) AS s1_n_ge20, round(sum(score) OVER w, 6) AS s1_sum, round(score / greatest(sum(score) OVER w, 1e-6), 6) AS s1_share FROM scores WINDOW w AS (PARTITION BY s1_entity_id)",
 )
-def _context(spark, d):
-    made = C.with_scores(scores(spark, d))
+def _context(spark, d, only=ONE):
+    made = C.with_scores(scores(spark, d, only))
     return made.select("s1_entity_id", "candidate_entity_id", "s1_score", F.col("s1_rank").cast("long").alias("s1_rank"), *r6("s1_gap", "s1_rel"), "s1_max", "s1_second", "s1_n_ge50", "s1_n_ge20", *r6("s1_sum", "s1_share"))
 
 
 @query("context_reference", f"WITH {S.SCORED}, o AS (SELECT *, row_number() OVER w AS k, first(candidate_entity_id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS a, nth_value(candidate_entity_id, 2) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS b FROM scores WINDOW w AS (PARTITION BY s1_entity_id ORDER BY score DESC, candidate_entity_id)) SELECT s1_entity_id, candidate_entity_id, CASE WHEN k = 1 THEN b ELSE a END AS ref_id FROM o")
-def _reference(spark, d):
-    return C.with_reference(scores(spark, d)).select("s1_entity_id", "candidate_entity_id", F.col("ref.candidate_entity_id").alias("ref_id"))
+def _reference(spark, d, only=ONE):
+    return C.with_reference(scores(spark, d, only)).select("s1_entity_id", "candidate_entity_id", F.col("ref.candidate_entity_id").alias("ref_id"))
 
 
 @query("context_transitive")
 def _transitive(spark, d):
-    return C.with_transitive(scores(spark, d)).select("s1_entity_id", "candidate_entity_id", *C.TRANSITIVE_FEATURES)
+    return C.with_transitive(scores(spark, d, only=None)).select("s1_entity_id", "candidate_entity_id", *C.TRANSITIVE_FEATURES)
 
 
 COUNTRY_RULES = P.Rules(0.5, True, None, {"en": 0.6, "fr|S2": 0.4, "fr": 0.7})
@@ -176,11 +185,11 @@ for _name, _rules, _sql in (
     ("select_by_country", COUNTRY_RULES, S.selected(_COUNTRY_SQL)),
     ("select_changed_country", COUNTRY_RULES.changed("en", 0.9), S.selected(_COUNTRY_SQL.replace("0.6", "0.9"))),
 ):
-    query(_name, f"WITH {S.SCORED}, {_sql} {_KEPT}")(lambda spark, d, rules=_rules: P.selected(scores(spark, d), rules).select("s1_entity_id", "candidate_entity_id", "score"))
+    query(_name, f"WITH {S.SCORED}, {_sql} {_KEPT}")(lambda spark, d, only=ONE, rules=_rules: P.selected(scores(spark, d, only), rules).select("s1_entity_id", "candidate_entity_id", "score"))
 
 
-def figures(spark: SparkSession, d: str) -> DataFrame:
-    return M.by_entity(P.selected(scores(spark, d), P.Rules(0.5)), R.true_links(spark, d), entities(spark, d))
+def figures(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
+    return M.by_entity(P.selected(scores(spark, d, only), P.Rules(0.5)), R.true_links(spark, d), entities(spark, d))
 
 
 _FIGURES = f"WITH {S.SCORED}, {S.selected()}, {S.by_entity()}"
@@ -188,13 +197,13 @@ _MACRO = "round(avg(f05), 6) AS f05, round(avg(CASE WHEN n_pred > 0 THEN tp / n_
 
 
 @query("metrics_by_entity", f"{_FIGURES} SELECT s1_entity_id, country, n_true, n_pred, tp, fp, fn, round(f05, 6) AS f05 FROM ent")
-def _entity(spark, d):
-    return figures(spark, d).select("s1_entity_id", "country", "n_true", "n_pred", "tp", "fp", "fn", *r6("f05"))
+def _entity(spark, d, only=ONE):
+    return figures(spark, d, only).select("s1_entity_id", "country", "n_true", "n_pred", "tp", "fp", "fn", *r6("f05"))
 
 
 @query("metrics_macro", f"{_FIGURES} SELECT country, {_MACRO} FROM ent GROUP BY country")
-def _macro(spark, d):
-    return M.macro(figures(spark, d), "country").select("country", *r6("f05", "precision", "recall"), "n_entities")
+def _macro(spark, d, only=ONE):
+    return M.macro(figures(spark, d, only), "country").select("country", *r6("f05", "precision", "recall"), "n_entities")
 
 
 _GRID = "points AS (SELECT row_number() OVER (ORDER BY threshold, top1 NULLS FIRST) - 1 AS point, * FROM (SELECT threshold, top1 FROM (VALUES (0.3), (0.5), (0.7), (0.9)) t(threshold), (VALUES (NULL), (0.1), (0.3)) p(top1) WHERE top1 IS NULL OR top1 < threshold))"
@@ -207,20 +216,20 @@ def small_grid(spark: SparkSession) -> DataFrame:
 
 
 @query("tune_grid", f"{_SEARCH} SELECT CAST(threshold AS DOUBLE) AS threshold, CAST(top1 AS DOUBLE) AS top1, round(avg(f05), 6) AS f05 FROM ent GROUP BY ALL")
-def _grid(spark, d):
-    return U.search(scores(spark, d), R.true_links(spark, d), entities(spark, d), small_grid(spark)).select("threshold", "top1", *r6("f05"))
+def _grid(spark, d, only=ONE):
+    return U.search(scores(spark, d, only), R.true_links(spark, d), entities(spark, d), small_grid(spark)).select("threshold", "top1", *r6("f05"))
 
 
 @query("tune_by_country", f"{_SEARCH}, e AS (SELECT country, threshold, avg(f05) AS f05 FROM ent WHERE top1 IS NULL GROUP BY ALL) SELECT country, CAST(threshold AS DOUBLE) AS threshold, round(f05, 6) AS f05 FROM e QUALIFY row_number() OVER (PARTITION BY country ORDER BY f05 DESC, threshold) = 1")
-def _grid_country(spark, d):
+def _grid_country(spark, d, only=ONE):
     points = small_grid(spark).filter("top1 is null")
-    return U.search_by_country(scores(spark, d), R.true_links(spark, d), entities(spark, d), points).select("country", "threshold", *r6("f05"))
+    return U.search_by_country(scores(spark, d, only), R.true_links(spark, d), entities(spark, d), points).select("country", "threshold", *r6("f05"))
 
 
 @query("tune_rules")
 def _rules(spark, d):
     """The whole tuner: grid, then countries, then sources, on few thresholds."""
-    s, links, every = scores(spark, d), R.true_links(spark, d), entities(spark, d)
+    s, links, every = scores(spark, d, only=None), R.true_links(spark, d), entities(spark, d)
     rules, _ = U.tune(s, links, every, thresholds=[0.4, 0.6, 0.8], top1=[None, 0.2])
     rules, _ = U.tune_by_country(s, links, every, rules, thresholds=[0.4, 0.6, 0.8])
     rules, best = U.tune_by_source(s, links, every, rules, thresholds=[0.5, 0.8], rounds=1)
@@ -229,15 +238,15 @@ def _rules(spark, d):
 
 
 @query("blend", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, round(CASE WHEN score >= 0.4 THEN 0.6 * score + 0.4 * (1 - score / 2) ELSE score END, 6) AS score FROM scores")
-def _blend(spark, d):
-    s = scores(spark, d)
+def _blend(spark, d, only=ONE):
+    s = scores(spark, d, only)
     again = s.filter("score >= 0.4").select("s1_entity_id", "candidate_entity_id", (1 - F.col("score") / 2).alias("ce"))
     return P.blended(s, again, 0.6).select("s1_entity_id", "candidate_entity_id", *r6("score"))
 
 
 @query("top_k", f"WITH {S.SCORED} SELECT s1_entity_id, candidate_entity_id, score FROM scores WHERE score >= 0.02 QUALIFY row_number() OVER (PARTITION BY s1_entity_id ORDER BY score DESC, candidate_entity_id) <= 3")
-def _top(spark, d):
-    return T.top_k(scores(spark, d), 3, least=0.02).select("s1_entity_id", "candidate_entity_id", "score")
+def _top(spark, d, only=ONE):
+    return T.top_k(scores(spark, d, only), 3, least=0.02).select("s1_entity_id", "candidate_entity_id", "score")
 
 
 _LISTS = "truth AS (SELECT e.s1_entity_id AS source1_entity_id, coalesce(string_agg(matched_entity_id, ',' ORDER BY matched_entity_id), '') AS matched_entity_ids FROM (SELECT entity_id AS s1_entity_id FROM rec WHERE sn = 1) e LEFT JOIN links ON source1_entity_id = e.s1_entity_id GROUP BY ALL)"
@@ -250,8 +259,8 @@ def truth(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("match_lists", f"WITH {S.SCORED}, {S.selected()} SELECT e.s1_entity_id AS source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' ORDER BY score DESC, candidate_entity_id), '') AS matched_entity_ids FROM entities e LEFT JOIN sel USING (s1_entity_id) GROUP BY ALL")
-def _match_lists(spark, d):
-    return io.id_lists(P.selected(scores(spark, d), P.Rules(0.5)), entities(spark, d))
+def _match_lists(spark, d, only=ONE):
+    return io.id_lists(P.selected(scores(spark, d, only), P.Rules(0.5)), entities(spark, d))
 
 
 @query("truth_lists", f"{_TRUTH} SELECT * FROM truth")
@@ -329,32 +338,34 @@ def _recall(spark, d):
 _MISSED = f"WITH {S.SCORED}, lost AS (SELECT source1_entity_id AS a, matched_entity_id AS b FROM links ANTI JOIN (SELECT s1_entity_id AS source1_entity_id, candidate_entity_id AS matched_entity_id FROM pairs WHERE candidate_entity_id LIKE 'S2-%') USING (source1_entity_id, matched_entity_id)), ms AS (SELECT a AS s1_entity_id, b AS candidate_entity_id, x.country, list_has_any(list_filter(string_split(x.name_core, ' '), lambda t: t <> ''), list_filter(string_split(y.name_core, ' '), lambda t: t <> '')) AS shares_word, list_has_any(list_filter(string_split(x.addr_nums, ' '), lambda t: t <> ''), list_filter(string_split(y.addr_nums, ' '), lambda t: t <> '')) AS shares_number, x.addr_norm = '' OR y.addr_norm = '' AS empty_address FROM lost JOIN norm x ON x.entity_id = a JOIN norm y ON y.entity_id = b)"
 
 
-def missed(spark: SparkSession, d: str) -> DataFrame:
-    pairs = candidates(spark, d, only="name_pair").filter(F.col("candidate_entity_id").startswith("S2-"))
+def missed(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
+    pairs = candidates(spark, d, only=only)
+    if only is not None:
+        pairs = pairs.filter(F.col("candidate_entity_id").startswith("S2-"))
     return G.missed(pairs, R.true_links(spark, d), R.stored_norm(spark, d))
 
 
 @query("report_missed_links", f"{_MISSED} SELECT * FROM ms")
-def _missed_links(spark, d):
-    return missed(spark, d)
+def _missed_links(spark, d, only=ONE):
+    return missed(spark, d, only)
 
 
 @query("report_missed", f"{_MISSED} SELECT country, count(*) AS n_missed, round(avg(CAST(shares_word AS INT)), 6) AS shares_word, round(avg(CAST(shares_number AS INT)), 6) AS shares_number, round(avg(CAST(empty_address AS INT)), 6) AS empty_address FROM ms GROUP BY country")
-def _missed(spark, d):
-    return G.missed_report(missed(spark, d)).select("country", "n_missed", *r6("shares_word", "shares_number", "empty_address"))
+def _missed(spark, d, only=ONE):
+    return G.missed_report(missed(spark, d, only)).select("country", "n_missed", *r6("shares_word", "shares_number", "empty_address"))
 
 
 _ERROR = "CASE WHEN n_true = 0 AND n_pred > 0 THEN 'singleton, wrong prediction' WHEN n_true > 0 AND n_pred = 0 THEN 'matches exist, none predicted' WHEN n_true > 0 AND fn > 0 AND fp = 0 THEN 'missed some matches only' WHEN n_true > 0 AND fp > 0 AND fn = 0 THEN 'wrong matches only' WHEN n_true > 0 AND fp > 0 AND fn > 0 THEN 'both missed and wrong' ELSE 'correct' END"
 
 
 @query("report_errors", f"{_FIGURES} SELECT {_ERROR} AS error, count(*) AS n, round(sum(1 - f05), 6) AS lost FROM ent GROUP BY ALL")
-def _errors(spark, d):
-    return G.error_report(figures(spark, d)).select("error", "n", *r6("lost"))
+def _errors(spark, d, only=ONE):
+    return G.error_report(figures(spark, d, only)).select("error", "n", *r6("lost"))
 
 
 @query("report_error_crosstab", f"{_FIGURES} SELECT {_ERROR} AS error, count(*) FILTER (country = 'de') AS de, count(*) FILTER (country = 'en') AS en, count(*) FILTER (country = 'es') AS es, count(*) FILTER (country = 'fr') AS fr FROM ent GROUP BY ALL")
-def _crosstab(spark, d):
-    return figures(spark, d).withColumn("error", G.error_type()).groupBy("error").pivot("country", ["de", "en", "es", "fr"]).count().fillna(0)
+def _crosstab(spark, d, only=ONE):
+    return figures(spark, d, only).withColumn("error", G.error_type()).groupBy("error").pivot("country", ["de", "en", "es", "fr"]).count().fillna(0)
 
 
 @query(
@@ -362,8 +373,8 @@ def _crosstab(spark, d):
     f"WITH {S.SCORED}, {S.selected()}, lost AS (SELECT source1_entity_id AS s1_entity_id, matched_entity_id AS candidate_entity_id FROM links ANTI JOIN (SELECT s1_entity_id AS source1_entity_id, candidate_entity_id AS matched_entity_id FROM sel) USING (source1_entity_id, matched_entity_id)) "
     "SELECT e.country, substr(l.candidate_entity_id, 1, 2) AS source, CASE WHEN s.score IS NULL THEN 'not a candidate' WHEN l.candidate_entity_id IN (SELECT candidate_entity_id FROM sel) THEN 'given to another' ELSE 'below threshold' END AS reason, count(*) AS n FROM lost l LEFT JOIN scores s USING (s1_entity_id, candidate_entity_id) LEFT JOIN entities e USING (s1_entity_id) GROUP BY ALL",
 )
-def _reasons(spark, d):
-    s = scores(spark, d)
+def _reasons(spark, d, only=ONE):
+    s = scores(spark, d, only)
     return G.miss_reasons(s, P.selected(s, P.Rules(0.5)).select("s1_entity_id", "candidate_entity_id"), R.true_links(spark, d), entities(spark, d))
 
 
@@ -371,13 +382,13 @@ def _reasons(spark, d):
     "report_wrong_matches",
     f"WITH {S.SCORED}, {S.selected('0.2')} SELECT substr(candidate_entity_id, 1, 2) AS source, CASE WHEN candidate_entity_id IN (SELECT matched_entity_id FROM links) THEN 'belongs to another' ELSE 'belongs to none' END AS kind, count(*) AS n FROM sel ANTI JOIN (SELECT source1_entity_id AS s1_entity_id, matched_entity_id AS candidate_entity_id FROM links) USING (s1_entity_id, candidate_entity_id) GROUP BY ALL",
 )
-def _wrong(spark, d):
-    return G.wrong_matches(P.selected(scores(spark, d), P.Rules(0.2)).select("s1_entity_id", "candidate_entity_id"), R.true_links(spark, d))
+def _wrong(spark, d, only=ONE):
+    return G.wrong_matches(P.selected(scores(spark, d, only), P.Rules(0.2)).select("s1_entity_id", "candidate_entity_id"), R.true_links(spark, d))
 
 
 @query("report_histogram", f"WITH {S.SCORED} SELECT CAST(CASE WHEN score > 0 AND score <= 0.25 THEN 0 WHEN score > 0.25 AND score <= 0.5 THEN 1 WHEN score > 0.5 AND score <= 0.75 THEN 2 WHEN score > 0.75 AND score <= 1 THEN 3 END AS INT) AS bin, count(*) AS n FROM scores WHERE score > 0 AND score <= 1 GROUP BY ALL")
-def _histogram(spark, d):
-    return G.histogram(scores(spark, d), "score", [0, 0.25, 0.5, 0.75, 1])
+def _histogram(spark, d, only=ONE):
+    return G.histogram(scores(spark, d, only), "score", [0, 0.25, 0.5, 0.75, 1])
 
 
 @query(
@@ -408,13 +419,13 @@ def _light(spark, d):
 
 
 @query("report_outside", f"WITH {S.SCORED}, {S.selected()} SELECT s1_entity_id, candidate_entity_id FROM sel ANTI JOIN pairs USING (s1_entity_id, candidate_entity_id)")
-def _outside(spark, d):
-    return G.outside(P.selected(scores(spark, d), P.Rules(0.5)).select("s1_entity_id", "candidate_entity_id"), candidates(spark, d, only="name_pair"))
+def _outside(spark, d, only=ONE):
+    return G.outside(P.selected(scores(spark, d, only), P.Rules(0.5)).select("s1_entity_id", "candidate_entity_id"), candidates(spark, d, only=only))
 
 
 @query("report_stages", f"WITH {S.SCORED}, {S.selected()}, " + ", ".join(f"{n}f AS (SELECT source1_entity_id AS s1_entity_id, count(*) AS n_true, count(x.candidate_entity_id) AS found FROM links LEFT JOIN {t} x ON x.s1_entity_id = source1_entity_id AND x.candidate_entity_id = matched_entity_id GROUP BY ALL), {n}c AS (SELECT s1_entity_id, count(*) AS n FROM {t} GROUP BY ALL), {n} AS (SELECT e.*, coalesce(n, 0) AS n, coalesce(n_true, 0) AS n_true, coalesce(found, 0) AS found FROM entities e LEFT JOIN {n}c USING (s1_entity_id) LEFT JOIN {n}f USING (s1_entity_id))" for n, t in (("bk", "pairs"), ("sl", "sel"))) + " " + " UNION ALL ".join(f"SELECT '{label}' AS stage, CAST(sum(n) AS BIGINT) AS pairs, round(avg(n), 6) AS pairs_an_entity, round(sum(found) / greatest(sum(n_true), 1), 6) AS recall, round(avg({_CEILING}), 6) AS ceiling FROM {n}" for n, label in (("bk", "blocking"), ("sl", "selection"))))
-def _stages(spark, d):
-    s = scores(spark, d)
+def _stages(spark, d, only=ONE):
+    s = scores(spark, d, only)
     made = G.stage_report({"blocking": s, "selection": P.selected(s, P.Rules(0.5))}, R.true_links(spark, d), entities(spark, d))
     return made.select("stage", "pairs", *r6("pairs_an_entity", "recall", "ceiling"))
 
@@ -424,7 +435,7 @@ def _stages(spark, d):
 
 def _training(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     norm = R.stored_norm(spark, d)
-    pairs = B.labelled(candidates(spark, d, only="name_pair"), R.true_links(spark, d))
+    pairs = B.labelled(candidates(spark, d), R.true_links(spark, d))
     made = stored(X.features(pairs, norm), "features")
     return made.filter(T.fold("s1_entity_id", salt=9) == 0), made.filter(T.fold("s1_entity_id", salt=9) == 1)
 

@@ -97,8 +97,10 @@ PASS_NAMES = list(PASSES)
 _W = "list_filter(string_split({0}, ' '), lambda x: x <> '')"
 _LONGEST = "coalesce(list_sort(list_transform(list_filter({0}, lambda x: length(x) = list_max(list_transform({0}, lambda y: length(y)))), lambda x: {{'p': list_position({0}, x), 'x': x}}))[1].x, '')"
 
-#: Set features of the pairs of one pass, and a score that SQL can compute from them.
-SCORED = f"""{blocking(only="name_pair")},
+
+def scored(only: str | None) -> str:
+    """Set features of the pairs of one pass (None: of all passes), and a score that SQL can compute from them."""
+    return f"""{blocking(only=only)},
 fx AS (SELECT p.*, a.country, a.name_core AS a_name_core, b.name_core AS b_name_core, a.addr_norm AS a_addr_norm, b.addr_norm AS b_addr_norm, a.postcode AS apc, b.postcode AS bpc,
   list_distinct({_W.format("a.name_core")}) AS ant, list_distinct({_W.format("b.name_core")}) AS bnt, list_distinct({_W.format("a.addr_norm")}) AS aat, list_distinct({_W.format("b.addr_norm")}) AS bat,
   {_W.format("a.addr_nums")} AS ann, {_W.format("b.addr_nums")} AS bnn, {_W.format("a.name_core")}[1] AS af, {_W.format("b.name_core")}[1] AS bf
@@ -115,6 +117,9 @@ scores AS (SELECT s1_entity_id, candidate_entity_id, country, n_passes, b_name_c
 entities AS (SELECT entity_id AS s1_entity_id, country FROM rec WHERE sn = 1)"""
 
 
+SCORED = scored("name_pair")
+
+
 def selected(threshold: str = "0.5", top1: str = "NULL", one_owner: bool = True, within: str = "", source: str = "scores", name: str = "sel") -> str:
     """CTEs that end in `name`: the kept pairs."""
     by = f"{within}, " if within else ""

@@ -19,6 +19,21 @@ def test_queries_have_sql():
     assert missing == {"features_all", "context_transitive", "tune_rules", "model_two_stages", "model_rescored"}
 
 
+def test_queries_over_all_passes(spark, small):
+    queries, sql = registry.queries(), registry.oracle_sql()
+    pairs = {tuple(r) for r in queries["blocking_all"](spark, small).select("s1_entity_id", "candidate_entity_id").collect()}
+    one = {tuple(r) for r in queries["blocking_name_pair"](spark, small).select("s1_entity_id", "candidate_entity_id").collect()}
+    assert one < pairs
+    for name in ("features_sets_all_passes", "context_scores_all_passes", "features_all", "context_transitive"):
+        got = [tuple(r) for r in queries[name](spark, small).select("s1_entity_id", "candidate_entity_id").collect()]
+        assert len(got) == len(pairs) and set(got) == pairs
+    assert {r.p for r in queries["features_all"](spark, small).selectExpr("n_passes > 1 as p").distinct().collect()} == {True, False}
+    held = R.true_links(spark, small).collect()
+    lost = {(r[0], r[1]) for r in queries["report_missed_links_all_passes"](spark, small).collect()}
+    assert lost == {(a, b) for a, b in held if (a, b) not in pairs}
+    assert {f"{n}_all_passes" for n, text in sql.items() if f"{n}_all_passes" in queries} <= set(sql) and not any("LIKE 'S2-%'" in x for n, x in sql.items() if n.endswith("_all_passes"))
+
+
 def test_one_owner_and_rescue(spark):
     rows = [("S1-a", "S2-x", 0.9, "us"), ("S1-b", "S2-x", 0.9, "us"), ("S1-b", "S2-y", 0.3, "us"), ("S1-c", "S3-z", 0.1, "us")]
     scores = spark.createDataFrame(rows, SCORES)
