@@ -1,30 +1,31 @@
 """HTML extraction by consensus host paths.
 
 Each page's containers are scored by the running text in them; a page's best container votes, with its score, for its
-generalised path (tags and classes from the root, digits made alike). Spark adds the votes by host and path, and each
-host keeps its paths in the order of their votes. Pages are then extracted again: the text of the containers on the
-host's first path that has text in the page, else of the page's own best container.
+generalised path (tags and classes from the root, digits made alike). Spark adds the votes by host and path. Pages of a
+host that have text on the same container paths are one layout; each layout takes the path of most votes among its own.
+Pages are then extracted again: the text of the containers on their layout's path, else of the page's own best container.
 
 In a container, text below menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments is
 left out. Character references are decoded, white space inside a block becomes one space, blocks are joined in page
-order by one space. Null or empty html gives an empty text; a null url is a host of its own. Votes are combined
-map-side, so that a host with a third of all pages is a few rows; the paths of hosts are broadcast only when they are
-few (`BROADCAST_HOSTS`), else joined by host, where Spark splits large hosts.
+order by one space. Null or empty html gives an empty text; a null url is a host of its own. Every voted
+path counts, and no table holds a host in one row. Votes and layouts are combined map-side, so that a host with a third
+of all pages is a few rows; the layouts' paths are broadcast only when they are few (`BROADCAST_LAYOUTS`), else joined by
+host and layout, where Spark splits large ones.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as html_
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import kept, table
 
-BROADCAST_HOSTS = 2_000
-PATHS_A_HOST = 8
+BROADCAST_LAYOUTS = 2_000
 #: Fixed values of the HTML standard: elements without content, with raw text, and of block level.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript".split())
@@ -166,6 +167,18 @@ class Page:
         node = min(held, key=lambda c: (-held[c], c))
         return self.path[node], held[node]
 
+    def layout(self) -> list[str]:
+        """The paths of containers that have text outside of what is besides the article, sorted."""
+        out: set[str] = set()
+        for node in {node for node, _, _ in self.blocks}:
+            up, held = node, []
+            while up >= 0 and not self.beside[up]:
+                held += [self.path[up]] if self.tag[up] in CONTAINER else []
+                up = self.parent[up]
+            if up < 0:
+                out.update(held)
+        return sorted(out)
+
     def text_of(self, path: str) -> str:
         """The blocks in the outermost containers on this path."""
         out = []
@@ -192,36 +205,61 @@ def _host(url) -> object:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
-    """host, paths: its generalised container paths by votes, the first `PATHS_A_HOST` of them (what they lack, the page's own best container serves)."""
+def _key(layout: list[str]) -> str:
+    return hashlib.md5("\n".join(layout).encode()).hexdigest()
+
+
+def _seen(pages: DataFrame, html: str, url: str) -> DataFrame:
+    """host, layout, paths, path, score: of each batch's hosts and layouts, the paths with text, and the votes for the pages' best."""
 
     def run(batches):
         for batch in batches:
-            hosts, paths, scores = [], [], []
+            votes: dict[tuple, int] = {}
+            held: dict[str, list[str]] = {}
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if (best := Page(source.as_py() or "").best()) is not None:
-                    hosts.append(host)
-                    paths.append(best[0])
-                    scores.append(round(best[1]))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())], names=["host", "path", "score"])
+                page = Page(source.as_py() or "")
+                if (best := page.best()) is not None:
+                    paths = page.layout()
+                    held[key := _key(paths)] = paths
+                    votes[host, key, best[0]] = votes.get((host, key, best[0]), 0) + round(best[1])
+            hosts, keys, paths = ([k[i] for k in votes] for i in range(3))
+            columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.string()), pa.array([held[k] for k in keys], pa.list_(pa.string())), pa.array(paths, pa.string()), pa.array(list(votes.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "layout", "paths", "path", "score"])
+
+    return pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, layout string, paths array<string>, path string, score long")
 
-    votes = pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, score long")
-    summed = votes.groupBy("host", "path").agg(F.sum("score").alias("score"))
-    best = Window.partitionBy("host").orderBy(F.desc("score"), "path")
-    first = summed.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= PATHS_A_HOST)
-    return first.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "path"))), lambda x: x["path"]).alias("paths"))
+
+def _voted(seen: DataFrame) -> DataFrame:
+    """host, path, less: every voted path; the least of (less, path) is the first of its host."""
+    return seen.groupBy("host", "path").agg((-F.sum("score")).alias("less"))
+
+
+def host_paths(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
+    """host, paths: all its generalised container paths by votes."""
+    ordered = F.array_sort(F.collect_list(F.struct("less", "path")))
+    return _voted(_seen(pages, html, url)).groupBy("host").agg(F.transform(ordered, lambda x: x["path"]).alias("paths"))
 
 
 def extract(pages: DataFrame, paths: DataFrame | None = None, *, html: str = "html", url: str = "url") -> DataFrame:
     """page_id, url, text, n_chars of each row of pages, by the hosts' paths (voted by these pages unless given)."""
-    voted = kept(host_paths(pages, html=html, url=url), "host-paths") if paths is None else paths
-    few = voted.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), F.col(html).alias("html"))
-    joined = rows.join(F.broadcast(voted) if few else voted, "host", "left").select("page_id", "url", "html", "paths")
+    seen = kept(_seen(pages, html, url), "host-paths")
+    voted = _voted(seen) if paths is None else paths.select("host", F.posexplode("paths").alias("less", "path"))
+    each = seen.groupBy("host", "layout").agg(F.first("paths").alias("paths")).select("host", "layout", F.explode("paths").alias("path"))
+    best = each.join(voted, ["host", "path"]).groupBy("host", "layout").agg(F.min(F.struct("less", "path"))["path"].alias("path"))
+    best = kept(best, "layouts")
+    few = best.limit(BROADCAST_LAYOUTS + 1).count() <= BROADCAST_LAYOUTS
+
+    def laid(batches):
+        for batch in batches:
+            yield batch.append_column("layout", pa.array([_key(Page(source.as_py() or "").layout()) for source in batch.column(3)], pa.string()))
+
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), _host(F.col(url)).alias("host"), F.col(html).alias("html"))
+    rows = rows.mapInArrow(laid, "page_id long, url string, host string, html string, layout string")
+    joined = rows.join(F.broadcast(best) if few else best, ["host", "layout"], "left").select("page_id", "url", "html", "path")
 
     def run(batches):
         for batch in batches:
-            texts = [Page(source.as_py() or "").main_text(held.as_py() or []) for source, held in zip(batch.column(2), batch.column(3), strict=True)]
+            texts = [Page(source.as_py() or "").main_text([path.as_py()] if path.is_valid else []) for source, path in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
