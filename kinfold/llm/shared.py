@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +26,13 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where that is unset and all run in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
+    if not found and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="kinfold-")
         spark.sparkContext.setCheckpointDir(found)
@@ -38,7 +43,26 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: cuts the lineage, and outlives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/kinfold-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what `kept` wrote. Only for tables that nothing will read again: what was made of them must be written itself."""
+    for df in tables:
+        if path := getattr(df, "kept_at", None):
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, in upper or lower case: `name`, with underscores before it where that is taken."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -54,6 +78,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system: a worker process outlives its task, and the next stage's workers stand beside it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run: Callable) -> Callable:
+    """A function of batches for mapInArrow that gives free memory back after each batch that it returns, and at its end."""
+
+    @functools.wraps(run)
+    def own(batches):
+        for out in run(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+
+    return own
+
+
+def trimmed_group(run: Callable) -> Callable:
+    """The same for applyInArrow, after each group."""
+
+    def own(key, rows):
+        try:
+            return run(key, rows)
+        finally:
+            give_back()
+
+    return own
+
+
+def trimmed_cogroup(run: Callable) -> Callable:
+    """The same for a cogroup's applyInArrow."""
+
+    def own(key, left, right):
+        try:
+            return run(key, left, right)
+        finally:
+            give_back()
+
+    return own
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, elementwise on uint64."""
     x = x.astype(np.uint64, copy=True)
