@@ -1,12 +1,14 @@
 """Byte-level BPE: length-bucketed padded matrices in which every row merges its leftmost minimum-rank pair each round.
 
-The texts of a batch are cut by the vocabulary's pattern; distinct pieces (by 64-bit hash) are encoded once. Pieces that are no token
-themselves go to buckets by length: a padded matrix has a piece a row, and in each round every row that still has a
-known pair merges the leftmost one of least rank. Pairs are looked up in a sorted table of hashed pairs, and rows close
-their gap (compaction) after the merge. Pieces above `LONG` bytes, for which rounds would cost the square of the
-length, are merged by a heap instead, with the same result. Rows do not depend on each other: there is no shuffle.
-
-Null and empty text have no tokens; special tokens are not recognised; repeated rows and ids give repeated rows.
+The texts of a batch are cut by the vocabulary's pattern; distinct pieces (by 64-bit hash) are encoded once, and what is
+known of pieces is held in sorted arrays of `KEPT_BYTES` at most. Pieces that are no token themselves go to buckets by
+length: a padded matrix has a piece a row, and in each round every row that still has a known pair merges the leftmost
+one of least rank. Pairs are looked up in a sorted table of hashed pairs, and rows close their gap (compaction) after the
+merge. Only pieces above `LONG` bytes, for which rounds would cost the square of the length (a second for 25,000 bytes,
+half an hour for a million), are merged by a heap instead, with the same result. Rows do not depend on each other: there is no shuffle.
+
+Null and empty text have no tokens; special tokens are not recognised; repeated rows and ids give repeated rows; an empty
+table gives none. Columns whose names clash with new ones are replaced.
 """
 
 from __future__ import annotations
@@ -21,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import raw_slices, span_hashes, table
+from .shared import raw_slices, span_hashes, table, trimmed
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LONG = 192
-KEPT_PIECES = 600_000
+LONG = 1024
+KEPT_BYTES = 16_000_000
+SLICE = 500_000
 #: The pattern that `cut` knows how to apply to arrays; any other is applied by its library.
 USUAL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_BUCKETS = (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 18, 20, 24, 32, 48, 96, LONG)
+_BUCKETS = (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 18, 20, 24, 32, 48, 96, 192, 384, 640, LONG)
 _NONE = np.int32(2**31 - 1)
 
 
@@ -61,7 +64,19 @@ class Codec:
         self.lengths = np.fromiter(map(len, self.tokens), np.int64, self.size)
         self.places = np.concatenate([[0], np.cumsum(self.lengths)])
         self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.known: dict[int, bytes] = {}  # by the piece's hash
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the table of known pieces: their hashes, sorted; where the ids of each begin in `ids`, and how many there are."""
+        self.names, self.starts, self.many, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def _keep(self, names: np.ndarray, ids: list[bytes]) -> None:
+        many = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        starts = len(self.ids) + np.cumsum(many, dtype=np.int64) - many
+        every = np.concatenate([self.names, names])
+        order = np.argsort(every, kind="stable")
+        self.names, self.starts, self.many = every[order], np.concatenate([self.starts, starts])[order], np.concatenate([self.many, many])[order]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), "<u4")])
 
     def _hash(self, pairs: dict[int, int]) -> None:
         """An open-addressing table of the pairs, probed for whole arrays at once."""
@@ -169,24 +184,26 @@ class Codec:
                 heapq.heappush(heap, (r, h, ids[h], rank))
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
-    def learn(self, pieces: dict[int, bytes]) -> None:
-        """Puts the ids of all these pieces into `known`."""
-        buckets: dict[int, tuple[list[int], list[bytes]]] = {}
-        for name, data in pieces.items():
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as little-endian 32-bit integers."""
+        out: list[bytes] = [b""] * len(pieces)
+        buckets: dict[int, list[int]] = {}
+        for i, data in enumerate(pieces):
             if (rank := self.ranks.get(data)) is not None:
-                self.known[name] = rank.to_bytes(4, "little")
+                out[i] = rank.to_bytes(4, "little")
             elif len(data) > LONG:
-                self.known[name] = self.merge_long(data)
+                out[i] = self.merge_long(data)
             else:
-                a, b = buckets.setdefault(next(x for x in _BUCKETS if len(data) <= x), ([], []))
-                a.append(name)
-                b.append(data)
-        for width, (names, data) in buckets.items():
+                buckets.setdefault(next(x for x in _BUCKETS if len(data) <= x), []).append(i)
+        for width, own in buckets.items():
             step = max(64, 200_000 // width)
-            for at in range(0, len(names), step):
-                self.known.update(zip(names[at : at + step], self.merge_bucket(data[at : at + step]), strict=True))
+            for at in range(0, len(own), step):
+                part = own[at : at + step]
+                for i, ids in zip(part, self.merge_bucket([pieces[i] for i in part]), strict=True):
+                    out[i] = ids
+        return out
 
-    def encode_column(self, column: pa.Array, most: int = 1_500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode_column(self, column: pa.Array, most: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For slices of a text column: the ids of all its rows, and how many each row has."""
         for _, _, data, offsets in raw_slices(column, most):
             places, first = self.cut(data, offsets)
@@ -195,20 +212,16 @@ class Codec:
     def encode_pieces(self, data: np.ndarray, places: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """places: where each piece starts, and the end; first: of each row, the number of its first piece."""
         names, example, own = np.unique(span_hashes(data, places[:-1], places[1:]), return_index=True, return_inverse=True)
-        names = names.tolist()
-        new = [i for i, x in enumerate(names) if x not in self.known]
-        if new:
-            if len(self.known) + len(new) > KEPT_PIECES:
-                self.known, new = {}, range(len(names))
-            body = data.tobytes()
-            self.learn({names[i]: body[places[e] : places[e + 1]] for i in new for e in (example[i],)})
-        values = list(map(self.known.__getitem__, names))
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        at = np.cumsum(sizes) - sizes
-        ends = np.concatenate([[0], np.cumsum(sizes[own])])
-        many = np.diff(ends)
-        ids = flat[np.arange(ends[-1]) + np.repeat(at[own] - ends[:-1], many)]
+        if self.names.nbytes + self.starts.nbytes + self.many.nbytes + self.ids.nbytes > KEPT_BYTES:
+            self._forget()
+        at = np.searchsorted(self.names, names)
+        new = np.flatnonzero((np.append(self.names, 0)[at] != names) | (at == len(self.names)))
+        if len(new):
+            body, ends = data.tobytes(), places[example[new] + 1].tolist()
+            self._keep(names[new], self.merged([body[a:b] for a, b in zip(places[example[new]].tolist(), ends, strict=True)]))
+            at = np.searchsorted(self.names, names)
+        ends = np.concatenate([[0], np.cumsum(self.many[at][own], dtype=np.int64)])
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[at][own] - ends[:-1], np.diff(ends))]
         return ids, ends[first[1:]] - ends[first[:-1]]
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -330,7 +343,7 @@ def encode(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY,
 
     from pyspark.sql import types as T
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return source.mapInArrow(trimmed(run), T.StructType([*source.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(df: DataFrame, *, ids: str = "token_ids", out: str = "decoded", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -347,7 +360,7 @@ def decode(df: DataFrame, *, ids: str = "token_ids", out: str = "decoded", vocab
 
     from pyspark.sql import types as T
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(out, T.BinaryType())]))
+    return source.mapInArrow(trimmed(run), T.StructType([*source.schema.fields, T.StructField(out, T.BinaryType())]))
 
 
 def digests(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -366,7 +379,7 @@ def digests(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY
                 b += [hashlib.sha256(back[x:y]).hexdigest() for x, y in zip([0, *text_ends[:-1]], text_ends, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -375,7 +388,7 @@ def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABUL
     def run(batches):
         tool = codec(vocabulary)
         for batch in batches:
-            for at, to, data, offsets in raw_slices(batch.column(1), 1_500_000):
+            for at, to, data, offsets in raw_slices(batch.column(1), SLICE):
                 places, first = tool.cut(data, offsets)
                 ids, many = tool.encode_pieces(data, places, first)
                 ends = np.concatenate([[0], np.cumsum(many)])
@@ -385,7 +398,7 @@ def round_trip(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABUL
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(many), lists, pa.array(same, pa.bool_())], names=["doc_id", "n_tokens", "token_ids", "round_trip"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(trimmed(run), "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
 def token_counts(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -397,7 +410,7 @@ def token_counts(docs: DataFrame, *, text: str = "text", vocabulary: str = VOCAB
             n = [x for _, many in tool.encode_column(batch.column(1)) for x in many.tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, "doc_id long, n_tokens long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text)).mapInArrow(trimmed(run), "doc_id long, n_tokens long")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
