@@ -6,9 +6,12 @@ is shared by all grades: P(grade > k) = sigmoid(w.x - t[k]) with ordered thresho
 signs, capitals, digits, bars, word length, repeated lines. Scoring gives the expected grade and the tail probability
 P(grade >= `GOOD`), by which documents are selected.
 
-The model is fitted on a bounded sample: the `SAMPLE` labelled doc_ids of least hash; a label that occurs several times
-counts once, at its lowest quality and highest toxicity; rows without a grade are left out. Everything is scored, whole.
-Without labels nothing is known and everything is kept. Null and empty texts are scored by their surface alone.
+The model is fitted on a bounded sample: the `SAMPLE` labelled doc_ids of least hash, of each the row of least text
+hash, as far as their features together are `FIT_ENTRIES` at most (a row that would exceed them is passed over); a label
+that occurs several times counts once, at its lowest quality and highest toxicity; rows without a grade are left out.
+The driver holds eight bytes an entry and computes gradients by blocks. Everything is scored, whole.
+Without labels (or documents) nothing is known and everything is kept. Null and empty texts are scored by their surface
+alone. Repeated rows score alike. An empty table gives no rows; columns whose names clash with new ones are replaced.
 Scoring needs no shuffle; the weights that are sent are those of words in `LEAST_DOCS` sampled documents at least, so
 their number is bounded by the sample's.
 """
@@ -22,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Texts, raw_slices, table
+from .shared import Texts, dropped, give_back, kept, raw_slices, table, trimmed
 
 SAMPLE = 20_000
+FIT_ENTRIES = 16_000_000
+BLOCK = 400_000
 LEAST_DOCS = 8
 PLACES = 1 << 22
 BINS = 12
@@ -93,38 +98,50 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -50, 50)))
 
 
-def train(grade: np.ndarray, row: np.ndarray, place: np.ndarray, value: np.ndarray, bins: np.ndarray, rounds: int = 200, rate: float = 0.3, decay: float = 2e-6) -> Model:
-    """Full-batch Adam on the penalised likelihood of the grades."""
+def train(grade: np.ndarray, first: np.ndarray, place: np.ndarray, value: np.ndarray, bins: np.ndarray, rounds: int = 200, rate: float = 0.3, decay: float = 2e-6) -> Model:
+    """Full-batch Adam on the penalised likelihood of the grades. first: where each row's entries (place, value) begin, and their end."""
     n = len(grade)
     if not n:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(SURFACE * BINS), np.array([-50.0, -50.0]))
-    names, own, count = np.unique(place, return_inverse=True, return_counts=True)
-    often = np.flatnonzero(count >= LEAST_DOCS)
-    number = np.full(len(names), -1)
-    number[often] = np.arange(len(often))
-    held = number[own] >= 0
-    row, at, value = row[held].astype(np.int64), number[own[held]], value[held]
-    names = names[often].astype(np.int64)
-    del own, held, place, number
+    count = np.bincount(place, minlength=PLACES)
+    names = np.flatnonzero(count >= LEAST_DOCS)
+    number = np.full(PLACES, -1, np.int32)
+    number[names] = np.arange(len(names), dtype=np.int32)
+    at = number[place]
+    held = at >= 0
+    first = np.concatenate([[0], np.cumsum(held)])[first]
+    at, value = at[held], value[held].astype(np.float32)
+    del count, number, held, place
+    blocks, a = [], 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(first, first[a] + BLOCK, "right")) - 1)
+        blocks.append((a, b, slice(first[a], first[b])))
+        a = b
     size = np.bincount(grade, minlength=GRADES)
     weight = np.sqrt(n / (GRADES * np.maximum(size, 1)))[grade]
     weight /= weight.sum()
-    x = {"w": np.zeros(len(often)), "s": np.zeros(SURFACE * BINS), "t": np.array([-2.0, 0.0])}  # t: first threshold, log of the step to the next
+    line = np.arange(n)
+    x = {"w": np.zeros(len(names)), "s": np.zeros(SURFACE * BINS), "t": np.array([-2.0, 0.0])}  # t: first threshold, log of the step to the next
     m, v = ({k: np.zeros_like(a) for k, a in x.items()} for _ in range(2))
     for step in range(1, rounds + 1):
-        s = np.bincount(row, x["w"][at] * value, n) + x["s"][bins].sum(1)
+        s = x["s"][bins].sum(1)
+        for a, b, part in blocks:
+            row = np.repeat(np.arange(b - a), np.diff(first[a : b + 1]))
+            s[a:b] += np.bincount(row, x["w"][at[part]] * value[part], b - a)
         t = np.array([x["t"][0], x["t"][0] + np.exp(x["t"][1])])
         up = 1 / (1 + np.exp(np.clip(t - s[:, None], -50, 50)))
         edge = np.concatenate([np.ones((n, 1)), up, np.zeros((n, 1))], 1)
         slope = edge * (1 - edge)
-        line = np.arange(n)
         p = np.maximum(edge[line, grade] - edge[line, grade + 1], 1e-9)
         ds = weight * (slope[line, grade] - slope[line, grade + 1]) / p
         dt = np.zeros((n, GRADES + 1))
         dt[line, grade] -= slope[line, grade] / p
         dt[line, grade + 1] += slope[line, grade + 1] / p
         d1, d2 = (dt[:, 1:3] * weight[:, None]).sum(0)
-        grads = {"w": np.bincount(at, ds[row] * value, len(often)) - decay * x["w"], "s": np.bincount(bins.reshape(-1), np.repeat(ds, SURFACE), SURFACE * BINS) - decay * x["s"], "t": np.array([d1 + d2, d2 * np.exp(x["t"][1])])}
+        dw = -decay * x["w"]
+        for a, b, part in blocks:
+            dw += np.bincount(at[part], np.repeat(ds[a:b], np.diff(first[a : b + 1])) * value[part], len(names))
+        grads = {"w": dw, "s": np.bincount(bins.reshape(-1), np.repeat(ds, SURFACE), SURFACE * BINS) - decay * x["s"], "t": np.array([d1 + d2, d2 * np.exp(x["t"][1])])}
         for k, g in grads.items():
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
@@ -139,11 +156,20 @@ def graded(labels: DataFrame) -> DataFrame:
     return one.select("doc_id", F.when(F.col("q") < 1, 0).when(F.col("x") > 0, 1).otherwise(2).cast("int").alias("grade"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", sample: int = SAMPLE) -> Model:
-    """A model fitted on the `sample` labelled documents of least hash; of rows with one doc_id, all are used."""
+def _within(order: np.ndarray, many: np.ndarray, most: int) -> np.ndarray:
+    """Which rows to take, in this order, so that their entries are `most` at most; a row that would exceed that is passed over."""
+    out, total = np.zeros(len(many), bool), 0
+    for i in order.tolist():
+        if total + many[i] <= most:
+            out[i], total = True, total + int(many[i])
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", sample: int = SAMPLE, entries: int = FIT_ENTRIES) -> Model:
+    """A model fitted on the `sample` labelled documents of least hash, of each one row, and on `entries` of their features at most."""
     key = F.xxhash64(F.lit("grades"), F.col("doc_id"))
     chosen = F.broadcast(graded(labels).orderBy(key, "doc_id").limit(sample))  # `sample` rows at most
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id").select("doc_id", "grade", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("named")).join(chosen, "doc_id").select("doc_id", "grade", "text", "named")
 
     def run(batches):
         for batch in batches:
@@ -153,17 +179,30 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", sample: int =
                 ids = pa.ListArray.from_arrays(pa.array(first), pa.array(place.astype(np.int32)))
                 values = pa.ListArray.from_arrays(pa.array(first), pa.array(value.astype(np.float32)))
                 shown = pa.array(bins.astype(np.int32).tolist(), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), batch.column(1).slice(at, to - at), ids, values, shown], names=["doc_id", "grade", "place", "value", "bins"])
-
-    got = rows.mapInArrow(run, "doc_id long, grade int, place array<int>, value array<float>, bins array<int>").toArrow().sort_by("doc_id").combine_chunks()
+                part = batch.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), ids, values, shown], names=["doc_id", "grade", "named", "place", "value", "bins"])
+
+    made = rows.mapInArrow(trimmed(run), "doc_id long, grade int, named long, place array<int>, value array<float>, bins array<int>")
+    made = kept(made.withColumn("many", F.size("place")), "features")
+    # of each document the row of least text hash; only names and sizes are compared, so that a doc_id of many rows is cheap
+    one = made.groupBy("doc_id").agg(F.min(F.struct("named", "many")).alias("least")).select("doc_id", "least.named", "least.many", key.alias("key"))
+    sizes = one.toArrow()
+    take = _within(np.lexsort((sizes.column("doc_id").to_numpy(), sizes.column("key").to_numpy())), sizes.column("many").to_numpy(), entries)
+    wanted = docs.sparkSession.createDataFrame(sizes.select(["doc_id", "named"]).filter(pa.array(take))) if take.any() else one.select("doc_id", "named").limit(0)
+    got = made.join(F.broadcast(wanted), ["doc_id", "named"]).groupBy("doc_id").agg(*(F.first(c).alias(c) for c in ("grade", "place", "value", "bins"))).toArrow().sort_by("doc_id")
+    dropped(made)
     if not len(got):
-        return train(np.zeros(0, int), *(np.zeros(0, int) for _ in range(3)), np.zeros((0, SURFACE), int))
-    flat = lambda c: got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    many = got.column("place").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-    grade, row = got.column("grade").to_numpy().astype(int), np.repeat(np.arange(len(got), dtype=np.int32), many)
-    place, value, bins = flat("place"), flat("value"), flat("bins").reshape(-1, SURFACE).astype(np.int64)  # four bytes an entry, to spare the driver
-    del got, many
-    return train(grade, row, place, value, bins)
+        return train(np.zeros(0, int), np.zeros(1, int), *(np.zeros(0, int) for _ in range(2)), np.zeros((0, SURFACE), int))
+    column = lambda c: got.column(c).combine_chunks()
+    many = column("place").value_lengths().to_numpy(zero_copy_only=False)
+    flat = lambda c: column(c).flatten().to_numpy(zero_copy_only=False)
+    grade, first = got.column("grade").to_numpy().astype(int), np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+    place, value, bins = flat("place"), flat("value"), flat("bins").reshape(-1, SURFACE)  # four bytes an entry, to spare the driver
+    del got, many, column
+    model = train(grade, first, place, value, bins)
+    del place, value, bins
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -184,7 +223,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     from pyspark.sql import types as T
 
     fields = [T.StructField(new[0], T.DoubleType()), T.StructField(new[1], T.DoubleType()), T.StructField(new[2], T.BooleanType())]
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, *fields]))
+    return source.mapInArrow(trimmed(run), T.StructType([*source.schema.fields, *fields]))
 
 
 def select(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -198,7 +237,7 @@ def select(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
