@@ -4,13 +4,17 @@ Texts are lower-cased and cut into words of letters and digits; shingles have `S
 much as it has distinct words. A window of a document is as long as a benchmark item. It can only be similar to the item
 if it shares a shingle with it, and then an item laid over the text by such a shared shingle gives the window: so
 windows are placed there, one for each maximal run of shared shingles in the same alignment, and nowhere is a window
-lost. Equal windows are fingerprinted once. Fingerprints (64 bits) within `RADIUS` of an item's agree with it in one of
-`RADIUS` + 1 blocks of bits at least, which are the keys of a join; surviving pairs are verified by weighted Jaccard
-similarity, at `SIMILARITY` or more. The radius leaves 3.6 standard deviations above the distance expected at 0.8.
-
-Only DataFrame functions. The one broadcast is of the items' shingles, behind a check of their number
-(`BROADCAST_SHINGLES`); beyond it they are joined by shuffle. Documents' texts are never shuffled. An item or document
-without a whole shingle matches nothing; so do nulls. Repeated rows of a doc_id give its matches once.
+lost. Equal windows are fingerprinted once. Items are indexed by the blocks of their fingerprints: 64 bits in `RADIUS` + 1
+blocks, of which any two fingerprints within `RADIUS` share one at least. Since a radius that is sure at a similarity of
+0.8 leaves blocks of three bits, which most pairs share by chance, a window looks its blocks up only among the items of
+its size that it shares a shingle with: the join grows with the windows, not with windows times items. What survives is
+verified by weighted Jaccard similarity, at `SIMILARITY` or more. The radius leaves 3.6 standard deviations above the
+distance expected at 0.8.
+
+Only DataFrame functions. The items' shingles, a stated query set, are broadcast in blocks of about `BROADCAST_SHINGLES`;
+each block is one pass over the documents, whose texts are never shuffled. An item or document without a whole shingle
+matches nothing; so do nulls and empty tables. Repeated rows of a doc_id give its matches once; repeated items are alike.
+Only the named columns are read, so that others may have any names.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import kept, table
+from .shared import dropped, free_name, kept, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -64,10 +68,10 @@ def fingerprints(df: DataFrame, key: str, numbers: str) -> DataFrame:
     return sums.select(key, words_[0].bitwiseOR(words_[1]).bitwiseOR(words_[2]).bitwiseOR(words_[3]).alias("simhash"))
 
 
-def _blocks(radius: int) -> Column:
-    """(block, its bits) of the column simhash, for radius + 1 blocks of 64 bits."""
+def _blocks(radius: int, name: str) -> Column:
+    """(block, its bits) of the column of fingerprints, for radius + 1 blocks of 64 bits."""
     edges = [64 * b // (radius + 1) for b in range(radius + 2)]
-    return F.explode(F.array(*(F.struct(F.lit(b).alias("block"), F.shiftrightunsigned("simhash", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("bits")) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)))))
+    return F.explode(F.array(*(F.struct(F.lit(b).alias("block"), F.shiftrightunsigned(name, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("bits")) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)))))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -75,40 +79,54 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", s
     items = kept(
         benchmark.filter(F.col("item_id").isNotNull())
         .select("item_id", words(F.col("text")).alias("ws"))
-        .select("item_id", F.size("ws").alias("size"), shingles(F.col("ws")).alias("numbers")),
+        .select("item_id", F.size("ws").alias("size"), shingles(F.col("ws")).alias("numbers"))
+        .filter(F.size("numbers") > 0)
+        .withColumn("item", F.xxhash64("item_id", "numbers"))  # an item_id may have several texts
+        .dropDuplicates(["item"]),
         "items",
-    ).filter(F.size("numbers") > 0)
-    placed = items.select("item_id", "size", "numbers", F.posexplode("numbers").alias("at", "number")).select("size", "at", "number", F.get("numbers", F.col("at") - 1).alias("before")).distinct()
-    few = placed.limit(BROADCAST_SHINGLES + 1).count() <= BROADCAST_SHINGLES
+    )
+    placed = items.select("size", "numbers", F.posexplode("numbers").alias("at", "number")).select("size", "at", "number", F.get("numbers", F.col("at") - 1).alias("before")).distinct()
+    placed = kept(placed, "placed")
+    blocks = max(1, -(-placed.count() // BROADCAST_SHINGLES))
     cut = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col(text)).alias("ws"))
-    held = cut.select("doc_id", shingles(F.col("ws")).alias("own")).select("doc_id", "own", F.posexplode_outer("own").alias("pos", "number"))  # outer: else Spark infers a filter, in which it spells out `own` for each row again
-    met = held.join(F.broadcast(placed) if few else placed, "number").filter(~F.coalesce(F.get("own", F.col("pos") - 1) == F.col("before"), F.lit(False)))
+    spread = cut.select("doc_id", shingles(F.col("ws")).alias("own")).select("doc_id", "own", F.posexplode_outer("own").alias("pos", "number"))  # outer: else Spark infers a filter, in which it spells out `own` for each row again
     start = F.col("pos") - F.col("at")
     first = F.greatest(start, F.lit(0))
     window = F.slice("own", first + 1, F.greatest(start + F.col("size") - (SHINGLE - 1) - first, F.lit(0)))
-    windows = kept(met.select("doc_id", start.alias("start"), "size", window.alias("window")).withColumn("name", F.xxhash64("size", "window")).dropDuplicates(["doc_id", "start", "name"]), "windows")
+    found = None
+    for b in range(blocks):
+        part = placed.filter(F.pmod(F.xxhash64("number"), F.lit(blocks)) == b)
+        met = spread.join(F.broadcast(part), "number").filter(~F.coalesce(F.get("own", F.col("pos") - 1) == F.col("before"), F.lit(False)))
+        one = met.select("doc_id", start.alias("start"), "size", window.alias("window"))
+        found = one if found is None else found.unionByName(one)
+    windows = kept(found.withColumn("name", F.xxhash64("size", "window")).dropDuplicates(["doc_id", "start", "name"]), "windows")
     distinct = windows.groupBy("name").agg(F.first("size").alias("size"), F.first("window").alias("window"))
     held = kept(distinct.join(fingerprints(distinct, "name", "window"), "name"), "fingerprints")
-    known = items.join(fingerprints(items, "item_id", "numbers"), "item_id")
-    block = _blocks(radius)
-    a = held.select("name", "size", "simhash", block.alias("b")).select("name", "size", "simhash", "b.block", "b.bits")
-    b = known.select("item_id", "size", F.col("simhash").alias("item_hash"), block.alias("b")).select("item_id", "size", "item_hash", "b.block", "b.bits")
-    near = a.join(b, ["size", "block", "bits"]).filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("item_hash"))) <= radius).select("name", "item_id").distinct()
-    pairs = near.join(held.select("name", "window"), "name").join(items.select("item_id", "numbers"), "item_id")
+    known = fingerprints(items, "item", "numbers").withColumnRenamed("simhash", "item_hash")
+    blocks_of = lambda c: _blocks(radius, c).alias("b")
+    shares = distinct.select("name", "size", F.explode(F.array_distinct("window")).alias("number")).join(items.select("item", "size", F.explode(F.array_distinct("numbers")).alias("number")), ["size", "number"]).select("name", "item").distinct()
+    a = held.join(shares, "name").select("name", "item", "simhash", blocks_of("simhash")).select("name", "item", "simhash", "b.block", "b.bits")
+    b = known.select("item", "item_hash", blocks_of("item_hash")).select("item", "item_hash", "b.block", "b.bits")
+    near = a.join(b, ["item", "block", "bits"]).filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("item_hash"))) <= radius).select("name", "item").distinct()
+    pairs = near.join(held.select("name", "window"), "name").join(items.select("item", "item_id", "numbers"), "item")
     own, other = F.array_distinct("window"), F.array_distinct("numbers")
     shared = _weight(F.array_intersect(own, other))
     verified = pairs.withColumn("similarity", shared / (_weight(own) + _weight(other) - shared)).filter(F.col("similarity") >= similarity).select("name", "item_id", "similarity")
     verified = kept(verified, "verified")
     small = verified.limit(BROADCAST_MATCHES + 1).count() <= BROADCAST_MATCHES
     hits = windows.select("doc_id", "start", "name").join(F.broadcast(verified) if small else verified, "name")
-    return hits.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.countDistinct("start").alias("n_windows"), F.min("start").cast("long").alias("first_word"))
+    out = kept(hits.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.countDistinct("start").alias("n_windows"), F.min("start").cast("long").alias("first_word")), "matches")
+    dropped(items, placed, windows, held, verified)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id has no match; rows without a doc_id stay."""
-    hit = kept(contaminated(docs, benchmark, text=text).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
+    """The rows of docs whose text has no match. A row is named by a hash of doc_id and text, so that rows without a doc_id, or with the same, go by their texts; items without an item_id are named by their texts, too."""
+    name, hit_here = F.xxhash64(F.col("doc_id").cast("long"), F.col(text)), free_name(docs, "__hit")
+    items = benchmark.select(F.xxhash64(F.col("item_id"), F.col("text")).alias("item_id"), "text")
+    hit = kept(contaminated(docs.select(name.alias("doc_id"), F.col(text).alias("text")), items).select(F.col("doc_id").alias(hit_here)).distinct(), "hits")
     few = hit.limit(BROADCAST_MATCHES + 1).count() <= BROADCAST_MATCHES
-    return docs.join(F.broadcast(hit) if few else hit, docs["doc_id"].cast("long") == F.col("__hit"), "left_anti")
+    return docs.join(F.broadcast(hit) if few else hit, name == F.col(hit_here), "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
