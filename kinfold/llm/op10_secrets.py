@@ -6,14 +6,22 @@ once for each distinct token of a slice and added by gathering, for all tokens o
 is exact: where the score of `outside` exceeds the others by more than any transition can give back, every best path
 passes through `outside`, so that the sequence falls apart there, and only the short rests are decoded.
 
-The weights maximise the conditional likelihood (forward-backward) of tags that the base patterns give to windows of a
-bounded sample of documents: the `SAMPLE` least hashes of doc_id. The sample is the only thing that is bounded. Every text is scanned whole, by the patterns and by the model; the model adds spans and removes
-none. Null and empty texts have no spans. There is no shuffle but the sample's.
+The weights maximise the conditional likelihood (forward-backward) of tags in windows of a bounded sample of documents:
+the `SAMPLE` least hashes of doc_id. The tags come from the base patterns, and from secrets that those patterns do not
+find: made ones (`made_secret`: other cue words, other alphabets, prefixes and groups) are put in place of words of the
+sample's own windows, some of them without a cue. A token that looks like a secret (`_secretive`) though no pattern takes
+it is neither taught as a secret nor as none: it is left out. The sample is the only thing that is bounded. Every text is scanned whole, by the patterns and by
+the model; the model adds spans and removes none. Null and empty texts have no spans; repeated rows have equal spans; an
+empty table gives no rows; of its columns only doc_id and the text are read (`redact` carries the others, whatever their
+names). There is no shuffle but the sample's.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Texts, raw_slices, table
+from .shared import Texts, give_back, raw_slices, table, trimmed
 
 SLICE = 4000  # windows a step of training holds at once
 SAMPLE = 4000
 WINDOW = 24
 WINDOWS_A_DOC = 24
+MADE_A_DOC = 3
 SHAPES, WORDS, FILES = 1728, 8192, 32
 KINDS = ("assign", "access", "hex", "crf")
 _OUT, _BEGIN, _IN = 0, 1, 2
@@ -50,7 +59,7 @@ def _flags() -> dict[str, np.ndarray]:
     digit = (code >= 48) & (code < 58)
     upper = (code >= 65) & (code < 91)
     lower = (code >= 97) & (code < 123)
-    return {"digit": digit, "upper": upper, "hex": digit | ((code >= 97) & (code < 103)) | ((code >= 65) & (code < 71)), "letter": upper | lower, "wide": code >= 128}
+    return {"digit": digit, "upper": upper, "hex": digit | ((code >= 97) & (code < 103)) | ((code >= 65) & (code < 71)), "letter": upper | lower, "wide": code >= 128, "at": code == 64, "dot": code == 46}
 
 
 _FLAGS = _flags()
@@ -79,7 +88,8 @@ class Tokens:
         shape = shape * 3 + np.where(hexes == alnum, 2, np.where(10 * hexes >= 8 * alnum, 1, 0))
         shape = shape * 3 + np.where(mark == 0, 0, np.where(3 * mark <= size, 1, 2))
         self.shape = shape * 2 + (wide > 0)
-        self.word = (texts.hashes() >> np.uint64(51)).astype(np.int32)
+        mail = (count("at") == 1) & (count("dot") > 0)  # addresses are alike as words
+        self.word = np.where(mail, 0, (texts.hashes() >> np.uint64(51)).astype(np.int32))
         self.odd = (digit > 0) & (size >= 6)
         many = np.diff(self.first)
         odd = np.concatenate([[0], np.cumsum(self.odd)])
@@ -134,28 +144,83 @@ def _tags(tokens: Tokens, found: dict, offsets: np.ndarray) -> np.ndarray:
     return tags
 
 
+#: Cue words and prefixes of made secrets. The base patterns know none of these.
+MADE_CUES = ("passphrase", "auth", "auth_key", "credential", "credentials", "private_key", "access_key", "client_key", "bearer", "pwd", "authorization", "signing_key", "session_key", "license_key")
+MADE_PREFIXES = ("sk-", "sk_live_", "pk_", "ghp_", "gho_", "xoxb-", "glpat-", "AIza", "ya29.", "eyJ", "npm_", "rk_", "shp-")
+_MIXED, _UPPER, _LOWER = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits
+
+
+def made_secret(rng: random.Random, cues: tuple[str, ...] = MADE_CUES, prefixes: tuple[str, ...] = MADE_PREFIXES) -> str:
+    """A made secret as it stands in a text: a value, mostly with a cue word, an assignment sign and perhaps quotes before and around it."""
+    draw = lambda letters, a, b: "".join(rng.choices(letters, k=rng.randint(a, b)))
+    kind = rng.randrange(6)
+    if kind == 0:
+        value = draw(_MIXED + "+/", 20, 48) + rng.choice(["", "=", "=="])
+    elif kind == 1:
+        value = rng.choice(prefixes) + draw(_MIXED, 16, 40)
+    elif kind == 2:
+        value = draw("0123456789ABCDEF", 24, 64)
+    elif kind == 3:
+        value = "-".join(draw(rng.choice([_UPPER, _LOWER]), 4, 8) for _ in range(rng.randint(3, 5)))
+    elif kind == 4:
+        value = draw(_MIXED + "_-", 22, 43)
+    else:
+        value = draw(_MIXED + "!@%^&*_-+", 12, 24)
+    if kind in (0, 1, 4) and rng.random() < 0.35:
+        return value  # recognisable by itself
+    quote, cue = rng.choice(["", "", '"', "'"]), rng.choice(cues)
+    return rng.choice([cue, cue, cue.upper(), cue.capitalize()]) + rng.choice([" = ", ": ", "=", ":", " := ", " : "]) + quote + value + quote
+
+
+def _secretive(tokens: Tokens) -> np.ndarray:
+    """Tokens of 16 bytes or more with letters and digits in turn and hardly a sign: what may be a secret, and may be none."""
+    size = tokens.ends - tokens.starts
+    out = np.zeros(len(size), bool)
+    for i in np.flatnonzero(tokens.odd & (size >= 16)).tolist():
+        raw = tokens.data[tokens.starts[i] : tokens.ends[i]]
+        digit, letter = int(_FLAGS["digit"][raw].sum()), int(_FLAGS["letter"][raw].sum())
+        out[i] = digit >= 3 and letter >= 3 and digit + letter >= 0.8 * len(raw)
+    return out
+
+
+def _evenly(places: np.ndarray, most: int) -> list[int]:
+    """`most` of the places at most, evenly spread over all of them."""
+    return places.tolist() if len(places) <= most else places[np.linspace(0, len(places) - 1, most).astype(int)].tolist()
+
+
 def _windows(batches) -> Iterator[pa.RecordBatch]:
-    """Training windows: around each begin, around other tokens with digits, and at even distances."""
+    """Training windows, spread over the whole text: around begins, around other tokens with digits, at even distances; and with made secrets."""
     for batch in batches:
         out: dict[str, list] = {"key": [], "shape": [], "word": [], "tag": [], "file": []}
         for at, _, data, offsets in raw_slices(batch.column(1), 1_000_000):
             tokens = Tokens(data, offsets)
             tags = _tags(tokens, _scan(data, offsets), offsets)
+            tags[_secretive(tokens) & (tags == _OUT)] = -1
             for row in range(len(offsets) - 1):
                 a, b = int(tokens.first[row]), int(tokens.first[row + 1])
                 if a == b:
                     continue
                 begin, odd = a + np.flatnonzero(tags[a:b] == _BEGIN), a + np.flatnonzero(tokens.odd[a:b] & (tags[a:b] == _OUT))
-                middles = [*begin[: WINDOWS_A_DOC // 2].tolist(), *odd[: WINDOWS_A_DOC // 3].tolist()]
+                middles = [*_evenly(begin, WINDOWS_A_DOC // 2), *_evenly(odd, WINDOWS_A_DOC // 3)]
                 middles += np.linspace(a, b - 1, 4).astype(int).tolist()
-                for k, m in enumerate(dict.fromkeys(middles)):
+                name = f"{batch.column(0)[at + row].as_py()}"
+                rng = random.Random(zlib.crc32(f"{name}:{b - a}".encode()))
+                places = [*((m, None) for m in dict.fromkeys(middles)), *((rng.randrange(a, b), made_secret(rng)) for _ in range(MADE_A_DOC))]
+                for k, (m, made) in enumerate(places):
                     x = max(a, min(m - WINDOW // 2, b - WINDOW))
                     y = min(b, x + WINDOW)
-                    pad = [-1] * (WINDOW - (y - x))
-                    out["key"].append(f"{batch.column(0)[at + row].as_py()}:{k}")
-                    out["shape"].append(tokens.shape[x:y].tolist() + pad)
-                    out["word"].append(tokens.word[x:y].tolist() + pad)
-                    out["tag"].append(tags[x:y].tolist() + pad)
+                    shape, word, tag = tokens.shape[x:y].tolist(), tokens.word[x:y].tolist(), tags[x:y].tolist()
+                    if made:
+                        raw = np.frombuffer(made.encode(), np.uint8)
+                        own, i = Tokens(raw, np.array([0, len(raw)])), m - x
+                        new = len(own.starts)
+                        shape[i : i + 1], word[i : i + 1], tag[i : i + 1] = own.shape.tolist(), own.word.tolist(), [_BEGIN, *[_IN] * (new - 1)]
+                        shape, word, tag = shape[:WINDOW], word[:WINDOW], tag[:WINDOW]
+                    pad = [-1] * (WINDOW - len(tag))
+                    out["key"].append(f"{name}:{k}")
+                    out["shape"].append(shape + pad)
+                    out["word"].append(word + pad)
+                    out["tag"].append(tag + pad)
                     out["file"].append(int(tokens.file[row]))
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema({"key": pa.string(), "shape": pa.list_(pa.int32()), "word": pa.list_(pa.int32()), "tag": pa.list_(pa.int32()), "file": pa.int32()}))
 
@@ -199,28 +264,34 @@ def _gradient(field: Field, windows: dict[str, np.ndarray], often: np.ndarray) -
     e[:, 1:] += own[:, :-1, 3:6] * pairs[..., None]
     e[:, :-1] += own[:, 1:, 6:] * pairs[..., None]
     e = np.where(real[..., None], e, [0.0, -1e3, -1e3])
-    ahead, back = np.empty_like(e), np.zeros_like(e)
-    ahead[:, 0] = e[:, 0]
+    chance = np.exp(np.maximum(e - e.max(2, keepdims=True), -60.0))
+    turn = np.exp(field.edge)
+    ahead, back = np.empty_like(e), np.ones_like(e)  # forward and backward sums, scaled at each token
+    ahead[:, 0] = chance[:, 0]
     for t in range(1, WINDOW):
-        x = ahead[:, t - 1, :, None] + field.edge
-        m = x.max(1)
-        ahead[:, t] = e[:, t] + m + np.log(np.exp(x - m[:, None]).sum(1))
+        x = (ahead[:, t - 1] @ turn) * chance[:, t]
+        ahead[:, t] = x / x.sum(1, keepdims=True)
+    after = np.empty_like(e)
+    after[:, -1] = chance[:, -1]
     for t in range(WINDOW - 2, -1, -1):
-        x = field.edge + (e[:, t + 1] + back[:, t + 1])[:, None]
-        m = x.max(2)
-        back[:, t] = m + np.log(np.exp(x - m[..., None]).sum(2))
-    z = ahead[:, -1].max(1) + np.log(np.exp(ahead[:, -1] - ahead[:, -1].max(1, keepdims=True)).sum(1))
-    miss = (gold - np.exp(ahead + back - z[:, None, None])) * real[..., None]
-    both = np.exp(ahead[:, :-1, :, None] + field.edge + (e[:, 1:] + back[:, 1:])[:, :, None] - z[:, None, None, None])
-    step = {"edge": ((gold[:, :-1, :, None] * gold[:, 1:, None] - both) * pairs[..., None, None]).sum((0, 1))}
+        x = after[:, t + 1] @ turn.T
+        back[:, t] = x / x.sum(1, keepdims=True)
+        after[:, t] = chance[:, t] * back[:, t]
+    own = ahead * back
+    miss = (gold - own / own.sum(2, keepdims=True)) * real[..., None]
+    weight = pairs / np.einsum("nti,ij,ntj->nt", ahead[:, :-1], turn, after[:, 1:], optimize=True)
+    both = turn * np.einsum("nti,ntj->ij", ahead[:, :-1] * weight[..., None], after[:, 1:], optimize=True)
+    step = {"edge": np.einsum("nti,ntj->ij", gold[:, :-1] * pairs[..., None], gold[:, 1:], optimize=True) - both}
     step["file"] = np.zeros((FILES, 3))
     np.add.at(step["file"], windows["file"], miss.sum(1))
     wide = np.zeros((n, WINDOW, 9))
     wide[..., :3] = miss
     wide[:, :-1, 3:6] = miss[:, 1:] * pairs[..., None]
     wide[:, 1:, 6:] = miss[:, :-1] * pairs[..., None]
+    flat = wide[real]
     for k, ids, size in (("shape", shape, SHAPES), ("word", word, WORDS)):
-        g = np.stack([np.bincount(ids[real], wide[..., c][real], size) for c in range(9)], 1)
+        at = ids[real]
+        g = np.stack([np.bincount(at, flat[:, c], size) for c in range(9)], 1)
         step[k] = g * often[:, None] if k == "word" else g
     return step
 
@@ -315,9 +386,13 @@ def sample_of(docs: DataFrame, n: int = SAMPLE) -> DataFrame:
 def fit(docs: DataFrame, *, text: str = "text", sample: int = SAMPLE) -> Field:
     """A field trained on a bounded sample of docs."""
     rows = sample_of(docs, sample).select(F.col("doc_id").cast("string").alias("doc_id"), text)
-    got = rows.mapInArrow(_windows, "key string, shape array<int>, word array<int>, tag array<int>, file int").toArrow().sort_by("key")
-    wide = lambda c: np.array(got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(got) else [], np.int64).reshape(-1, WINDOW)
-    return train({"shape": wide("shape"), "word": wide("word"), "tag": wide("tag"), "file": np.array(got.column("file").to_pylist(), np.int64)})
+    got = rows.mapInArrow(trimmed(_windows), "key string, shape array<int>, word array<int>, tag array<int>, file int").toArrow().sort_by("key")
+    wide = lambda c, kind: np.array(got.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(got) else [], kind).reshape(-1, WINDOW)
+    windows = {"shape": wide("shape", np.int16), "word": wide("word", np.int16), "tag": wide("tag", np.int8), "file": np.array(got.column("file").to_pylist(), np.int16)}
+    del got
+    field = train(windows)
+    give_back()
+    return field
 
 
 def _found(batch_text, weights) -> Iterator[tuple[bytes | None, list[tuple[int, int, int]]]]:
@@ -355,7 +430,7 @@ def scan(docs: DataFrame, field: Field | None = None, *, text: str = "text") ->
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, item)], names=["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(trimmed(run), "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def redact(docs: DataFrame, field: Field | None = None, *, text: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -376,7 +451,7 @@ def redact(docs: DataFrame, field: Field | None = None, *, text: str = "text", m
             new = [old[i].as_py() if raw is None else cut(raw, spans) for i, (raw, spans) in enumerate(_found(old, weights))]
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, old.type))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def op10_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
