@@ -126,7 +126,26 @@ def test_join_against_brute_force(spark, documents, k, per_cent):
     rows += [(20_000 + i, "tiny text here " + "abc"[i % 3]) for i in range(9)] + [(30_000, None), (30_001, ""), (30_002, "x"), (30_003, "X")]
     got = op2_ngram_join.linked(spark.createDataFrame(rows, DOCS), shingle=k, per_cent=per_cent).collect()
     expected = brute_components(rows, k, per_cent)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+    assert {r.key: (r.n_shingles, r.component_id) for r in got} == expected
+    first = op2_ngram_join.first_of_each(spark.createDataFrame(rows, DOCS), shingle=k, per_cent=per_cent)
+    assert sorted(r.doc_id for r in first.collect()) == sorted(i for i, (n, c) in expected.items() if i == c)
+
+
+def test_join_finds_links_that_only_open_cells_show(spark, monkeypatch):
+    """Many near copies of a text, so that cells stay open after the first round, and pairs that are like each other but not like those cells' least member."""
+    monkeypatch.setattr(op2_ngram_join, "FEW", 1)
+    rng = np.random.default_rng(4)
+    base, rows = rng.integers(0, 500, 120).astype(str), []
+    for i in range(60):
+        w = base.copy()
+        at = rng.choice(120, 9, replace=False)
+        w[at] = rng.integers(1000, 9000, 9).astype(str)
+        rows.append((2 * i, " ".join(w)))
+        w[int(rng.integers(0, 120))] = "x"
+        rows.append((2 * i + 1, " ".join(w)))
+    for per_cent in (60, 80):
+        got = op2_ngram_join.linked(spark.createDataFrame(rows, DOCS), shingle=5, per_cent=per_cent).collect()
+        assert {r.key: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 5, per_cent)
 
 
 def test_join_odd_rows(odd):
@@ -134,11 +153,20 @@ def test_join_odd_rows(odd):
     assert len(got) == len(ODD)
     by = defaultdict(set)
     for r in got:
-        by[r.doc_id].add((r.n_shingles, r.component_id))
+        by[r.key].add((r.n_shingles, r.component_id))
     assert by[1] == {(4, 1)} and by[2] == {(0, 2)} and by[4] == {(0, 4)} and by[None] == {(4, None)} and by[6] == {(1, 6)} and by[7] == {(1, 6)}
     assert op2_ngram_join.linked(odd.limit(0)).count() == 0
     kept = op2_ngram_join.first_of_each(odd, shingle=5, per_cent=80)
-    assert kept.columns == odd.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 8]
+    assert kept.columns == odd.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 8]
+
+
+def test_first_of_each_tells_rows_of_one_id_apart(spark):
+    text = lambda x, n=40: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (2, text("b") + " end"), (None, text("a")), (None, text("c")), (None, text("c")), (3, None), (3, None), (4, text("d", 3)), (5, text("d", 3).upper())]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("__name", "__once", "key", "component", "lead")})
+    kept = op2_ngram_join.first_of_each(df, shingle=5, per_cent=80)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, text("a")), (1, text("b")), (None, text("c")), (3, None), (3, None), (4, text("d", 3))], key=str)
+    assert op2_ngram_join.first_of_each(df.limit(0), shingle=5, per_cent=80).count() == 0
 
 
 def test_tree_finds_every_pair_within_the_bound():
@@ -197,11 +225,45 @@ def test_decontamination(spark, odd):
     low = op4_decontam.contaminated(spark.createDataFrame(rows, DOCS), bench, similarity=0.6).collect()
     assert {r.doc_id for r in low} == {1, 2, 3, 4}  # 16 of 26 shingles for the third: 0.615
     clean = op4_decontam.clean(spark.createDataFrame(rows, DOCS), bench)
-    assert sorted((r.doc_id or 0) for r in clean.collect()) == [0, 2, 3, 5, 6]
+    assert sorted((r.doc_id or 0) for r in clean.collect()) == [2, 3, 5, 6]
     assert op4_decontam.contaminated(odd, bench).count() == 0 and op4_decontam.contaminated(odd.limit(0), bench).count() == 0 and op4_decontam.contaminated(odd, bench.limit(0)).count() == 0
     assert op4_decontam.clean(odd, bench).columns == odd.columns
 
 
+def test_decontamination_recall(spark, monkeypatch):
+    """Windows of all similarities about the threshold, against the SQL, which knows no fingerprints; with the items' shingles in one block and in many."""
+    import duckdb
+
+    rng = np.random.default_rng(11)
+    words = np.array([f"v{i}" for i in range(3000)])
+    items = [list(rng.choice(words, int(rng.integers(20, 90)))) for _ in range(40)]
+    rows = []
+    for i in range(600):
+        w = list(items[i % 40])
+        for _ in range(int(rng.integers(1, max(2, len(w) // 18)))):
+            at, kind = int(rng.integers(0, len(w))), int(rng.integers(0, 3))
+            w[at : at + (kind < 2)] = [str(x) for x in rng.choice(words, int(kind > 0))]
+        rows.append((i, " ".join([*rng.choice(words, int(rng.integers(0, 40))), *w, *rng.choice(words, int(rng.integers(0, 40)))])))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    with duckdb.connect() as db:
+        documents, benchmark = spark.createDataFrame(rows, DOCS).toPandas(), bench.toPandas()  # noqa: F841
+        expected = {(a, b): round(c, 9) for a, b, c, *_ in db.sql(op4_decontam.ORACLE_SQL["op4_decontamination"]).fetchall()}
+    assert sum(v < 0.85 for v in expected.values()) > 40
+    for most in (400_000, 700):
+        monkeypatch.setattr(op4_decontam, "BROADCAST_SHINGLES", most)
+        got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in op4_decontam.contaminated(spark.createDataFrame(rows, DOCS), bench).collect()}
+        assert got.keys() <= expected.keys() and len(got) >= 0.995 * len(expected)
+
+
+def test_decontamination_names_rows_by_text(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    bench = spark.createDataFrame([(None, item), (7, " ".join(f"q{i}" for i in range(20))), (7, " ".join(f"z{i}" for i in range(20)))], "item_id long, text string")
+    rows = [(None, item), (None, "a clean text"), (1, item), (1, "another text"), (2, " ".join(f"z{i}" for i in range(20))), (2, "third")]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("__hit", "item", "name")})
+    kept = op4_decontam.clean(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.text for r in kept.collect()) == ["a clean text", "another text", "third"]
+
+
 def test_simhash_by_hand(spark):
     numbers = [(i * 7919 & ~7) | (1 + i % 5) for i in range(1, 60)]
     df = spark.createDataFrame([(1, numbers)], "k long, n array<long>")
@@ -239,7 +301,11 @@ def test_quality(spark, small, odd):
     assert np.mean(clean) > 0.97 and np.mean(low) < 0.1 and model.thresholds[0] < model.thresholds[1]
     made = op6_quality.score(odd, model)
     assert made.count() == len(ODD) and made.filter("tail_probability is null or expected_grade < 0 or expected_grade > 2").count() == 0
+    some = op6_quality.fit(docs.unionByName(docs).unionByName(odd.select("doc_id", "text").crossJoin(docs.drop("doc_id", "text").limit(1)).select(docs.columns)), labels.filter("doc_id % 4 <> 0"), entries=30_000)
+    assert len(some.places) and len(some.places) < len(model.places)
     none = op6_quality.fit(docs, labels.limit(0))
+    assert np.array_equal(op6_quality.fit(docs.unionByName(docs), labels.filter("doc_id % 4 <> 0")).weights, model.weights)
+    assert op6_quality._within(np.array([2, 0, 1, 3]), np.array([4, 9, 3, 1]), 8).tolist() == [True, False, True, True]
     assert op6_quality.select(odd, none).count() == len(ODD) and op6_quality.score(odd.limit(0), model).count() == 0
     assert op6_quality.select(odd, model).columns == odd.columns
 
