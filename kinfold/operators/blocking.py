@@ -100,7 +100,7 @@ def keys(ranks: DataFrame, settings: Settings = Settings(), *, query: bool = Fal
         F.transform(F.slice("known_a", 3, max(num_words - 2, 0)), lambda x: x["token"]).alias("rest"),
         F.array_distinct(F.transform(F.slice(F.filter("all_a", lambda x: F.length(x["token"]) >= 5), 1, s.prefix_words), lambda x: F.substring(x["token"], 1, 5))).alias("a5"),
     )
-    nums = lambda n: F.slice("nums", 1, n)
+    nums = lambda n: F.slice("nums", 1, min(n, s.max_nums))
     cross = lambda kind, left, right: F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: F.concat_ws("|", F.lit(kind), x, y))))
     first = F.get("n2", F.lit(0))
     tag = lambda kind, array: F.transform(array, lambda x: F.concat_ws("|", F.lit(kind), x))

@@ -12,10 +12,13 @@ RECORD_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 
 
-def read_tsv(spark: SparkSession, path: str | list[str], columns: tuple[str, ...] = RECORD_COLUMNS, *, limit: int | None = None) -> DataFrame:
-    """All columns as text; nothing is taken for a null, and what is missing is the empty string."""
-    df = spark.read.option("multiLine", True).csv(path, sep="\t", header=True, quote='"', escape='"', schema=", ".join(f"{c} string" for c in columns), enforceSchema=False)
-    df = df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in columns))
+def read_tsv(spark: SparkSession, path: str | list[str], columns: tuple[str, ...] = RECORD_COLUMNS, *, limit: int | None = None, multi_line: bool = False) -> DataFrame:
+    """Some columns of files with a header, as text; nothing is taken for a null, and what is missing is the empty string.
+
+    Only these columns are parsed, in whatever order the header has them; a name that it lacks is an error. Files are
+    split among tasks, unless quoted fields may hold line breaks (`multi_line`), when each file is one task's."""
+    df = spark.read.csv(path, sep="\t", header=True, quote='"', escape='"', inferSchema=False, enforceSchema=False, multiLine=multi_line)
+    df = df.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns))
     return df.limit(limit) if limit is not None else df
 
 

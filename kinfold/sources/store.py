@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; one of our own only where that is unset."""
+    """The folder of spark.checkpoint.dir, which driver and executors share; one of our own only where that is unset and all run in this process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not path and held.isDefined():
         path = held.get()
+    if not path and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
     if not path:
         path = f"file://{tempfile.mkdtemp(prefix='kinfold-')}"
         spark.sparkContext.setCheckpointDir(path)

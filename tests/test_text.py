@@ -4,14 +4,14 @@ from kinfold.functions.text import normalized
 
 SCHEMA = "entity_id string, business_name string, business_address string, country string"
 CASES = [
-    ("Davis Family Office, LLC", "88 Olive Circle, Lebanon, Tennessee", "US", "davis family office", "88 olive circle lebanon tn", "88", "", "tn"),
-    ("Drayex Bert0 Inc.", "19821 Wheelwright Dr., Montgomery Village, MD", "US", "drayex berto", "19821 wheelwright drive montgomery village md", "19821", "", "md"),
-    ("www.teamair.com", "Flat 101, Opp Mercedes Benz, తెలంగాణ", "India", "teamair", "flat 101 opposite mercedes benz tg", "101", "", "tg"),
-    ("Vaibhav Formulations Pvt Ltd", "15/64 Garden House, Trivandrum, Kerala 695010", "India", "vaibhav formulations", "15 64 garden house thiruvananthapuram kl 695010", "15 64", "695010", "kl"),
-    ("Boulangerie Dupont SARL", "12bis av. des Champs Élysées, 75008 Paris", "France", "boulangerie dupont", "12 bis avenue des champs elysees 75008 paris", "12", "75008", ""),
-    ("The And", "½ street, N/A", "x", "the and", "1 2 street", "1 2", "", ""),
-    ("techn0logy 3m P.C. & Sons 8731858442", None, None, "technology 3m sons", "", "", "", ""),
-    ("लिमिटेड कंपनी", "1-1ST Floor, 000", "India", "limited company", "1 floor 0", "0 1", "", ""),
+    ("Quillmark Harbour Studio, LLC", "47 Juniper Circle, Fairmount, Tennessee", "US", "quillmark harbour studio", "47 juniper circle fairmount tn", "47", "", "tn"),
+    ("Orbelin Vakt0 Inc.", "30415 Marrowhill Dr., Pinecrest Village, MD", "US", "orbelin vakto", "30415 marrowhill drive pinecrest village md", "30415", "", "md"),
+    ("www.lumenraft.com", "Flat 208, Opp Silver Oak, తెలంగాణ", "India", "lumenraft", "flat 208 opposite silver oak tg", "208", "", "tg"),
+    ("Sarvika Instruments Pvt Ltd", "22/7 Lotus Court, Trivandrum, Kerala 695099", "India", "sarvika instruments", "22 7 lotus court thiruvananthapuram kl 695099", "7 22", "695099", "kl"),
+    ("Menuiserie Valcourt SARL", "9bis av. du Marché Élégant, 69002 Lyon", "France", "menuiserie valcourt", "9 bis avenue du marche elegant 69002 lyon", "9", "69002", ""),
+    ("The And", "¼ street, N/A", "x", "the and", "1 4 street", "1 4", "", ""),
+    ("r0botics 5k P.C. & Sons 7719482206", None, None, "robotics 5k sons", "", "", "", ""),
+    ("लिमिटेड कंपनी", "2-2ND Floor, 000", "India", "limited company", "2 floor 0", "0 2", "", ""),
     ("", "  ", "us", "", "", "", "", ""),
 ]
 
