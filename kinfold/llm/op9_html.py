@@ -6,8 +6,9 @@ host that have text on the same container paths are one layout; each layout take
 Pages are then extracted again: the text of the containers on their layout's path, else of the page's own best container.
 
 In a container, text below menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments is
-left out. Character references are decoded, white space inside a block becomes one space, blocks are joined in page
-order by one space. Null or empty html gives an empty text; a null url is a host of its own. Every voted
+left out, and what is hidden by attribute. A `header` inside an article is a header, too; the title beside it is text. Character references are decoded, white space inside a block becomes one space, blocks are joined in page
+order by one space. Null or empty html gives an empty text; a null url is a host of its own. Repeated rows give
+repeated rows, each with a vote; an empty table gives none; only the named columns are read. Every voted
 path counts, and no table holds a host in one row. Votes and layouts are combined map-side, so that a host with a third
 of all pages is a few rows; the layouts' paths are broadcast only when they are few (`BROADCAST_LAYOUTS`), else joined by
 host and layout, where Spark splits large ones.
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import kept, table
+from .shared import kept, table, trimmed
 
 BROADCAST_LAYOUTS = 2_000
 #: Fixed values of the HTML standard: elements without content, with raw text, and of block level.
@@ -42,7 +43,8 @@ ASIDE_WORDS = frozenset(
 )
 _MAIN_WORDS = frozenset("article content main post entry story body text".split())
 _TAG = re.compile(r"""<(?:!--(.*?)(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?][^>]*>)""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_QUOTED, _HIDDEN = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')"""), re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
 _HEADING = re.compile(r"h[1-6]$")
 
 
@@ -53,7 +55,7 @@ def _besides(tag: str, names: list[str]) -> bool:
         return False
     for name in names:
         parts = [x for x in re.split(r"[-_\s]+", name.lower()) if x]
-        if parts and parts[0] not in ("no", "without", "has", "with") and (parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS):
+        if parts and parts[0] not in ("no", "without", "has", "with") and parts[-1] not in ("free", "off", "less", "none") and (parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS):
             return True
     return False
 
@@ -124,18 +126,21 @@ class Page:
                         break
                     if held in CONTAINER or held in ("ul", "ol", "dl", "table"):
                         break
-            names, role = [], ""
-            for a in _ATTRIBUTE.finditer(m[4] or m[7] or ""):
+            names, role, own = [], "", m[4] or m[7] or ""
+            hidden = "hidden" in own.lower() and bool(_HIDDEN.search(_QUOTED.sub("=x", own)))
+            for a in _ATTRIBUTE.finditer(own):
                 value = a[2] or a[3] or a[4] or ""
                 if a[1].lower() == "class":
                     names = value.split()
                 elif a[1].lower() == "role":
                     role = value.lower()
+                elif a[1].lower() == "aria-hidden":
+                    hidden |= value.lower() == "true"
             up = stack[-1]
             self.parent.append(up)
             self.tag.append(tag)
             self.path.append(f"{self.path[up]}/" + re.sub(r"\d+", "#", ".".join([tag, *names])))
-            self.beside.append(_besides(tag, names) or role in ("navigation", "banner", "contentinfo", "complementary", "search"))
+            self.beside.append(hidden or _besides(tag, names) or role in ("navigation", "banner", "contentinfo", "complementary", "search"))
             words = {w for n in names for w in re.split(r"[-_]+", n.lower())}
             self.good.append((2.0 if tag in ("article", "main") or role == "main" else 1.0) * (1.5 if words & _MAIN_WORDS else 1.0))
             stack.append(len(self.tag) - 1)
@@ -226,7 +231,7 @@ def _seen(pages: DataFrame, html: str, url: str) -> DataFrame:
             columns = [pa.array(hosts, pa.string()), pa.array(keys, pa.string()), pa.array([held[k] for k in keys], pa.list_(pa.string())), pa.array(paths, pa.string()), pa.array(list(votes.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["host", "layout", "paths", "path", "score"])
 
-    return pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, layout string, paths array<string>, path string, score long")
+    return pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(trimmed(run), "host string, layout string, paths array<string>, path string, score long")
 
 
 def _voted(seen: DataFrame) -> DataFrame:
@@ -254,7 +259,7 @@ def extract(pages: DataFrame, paths: DataFrame | None = None, *, html: str = "ht
             yield batch.append_column("layout", pa.array([_key(Page(source.as_py() or "").layout()) for source in batch.column(3)], pa.string()))
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), _host(F.col(url)).alias("host"), F.col(html).alias("html"))
-    rows = rows.mapInArrow(laid, "page_id long, url string, host string, html string, layout string")
+    rows = rows.mapInArrow(trimmed(laid), "page_id long, url string, host string, html string, layout string")
     joined = rows.join(F.broadcast(best) if few else best, ["host", "layout"], "left").select("page_id", "url", "html", "path")
 
     def run(batches):
@@ -262,7 +267,7 @@ def extract(pages: DataFrame, paths: DataFrame | None = None, *, html: str = "ht
             texts = [Page(source.as_py() or "").main_text([path.as_py()] if path.is_valid else []) for source, path in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.mapInArrow(trimmed(run), "page_id long, url string, text string, n_chars long")
 
 
 def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
