@@ -1,4 +1,6 @@
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -360,6 +362,13 @@ def test_html(spark):
     assert {r.host: r.paths[0] for r in many.collect()}["a.example"].endswith("article.post.post-#")
 
 
+def test_html_classes_and_hidden_elements():
+    text = lambda inner: op9_html.Page(f"<body><article><p>Kept text here.</p>{inner}</article></body>").main_text([])
+    assert text('<div class="content ad-free"><p>More</p></div>') == "Kept text here. More"
+    assert text('<div class="ad"><p>More</p></div>') == text("<div hidden><p>More</p></div>") == text('<p hidden="">More</p>') == text('<div aria-hidden="true">More</div>') == "Kept text here."
+    assert text('<p title="a hidden thing" data-class="ad">More</p>') == text('<p aria-hidden="false">More</p>') == text('<p class="hiddenite">More</p>') == "Kept text here. More"
+
+
 def test_html_keeps_every_voted_path(spark):
     name = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
     page = lambda i, words, other: f'<div class="k{name(i)}"><p>{"right " * words}</p></div><div class="o{name(i)}"><p>{"other " * other}</p></div>'
@@ -392,6 +401,36 @@ def test_scan_finds_base_spans_of_adjacent_rows():
             assert {row: spans for row, (_, spans) in found.items()} == {i: spans for i, t in enumerate(held) if (spans := op10_secrets.base_spans(t))}
 
 
+def test_base_spans_of_a_whole_table(documents):
+    """Against the patterns applied to each text by itself."""
+    patterns = [(re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 12, "assign"), (re.compile("AKIA[A-Z0-9]+"), 18, "access"), (re.compile("[0-9a-f]+"), 16, "hex")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.kind != "crf"] for r in op10_secrets.scan(documents, op10_secrets.Field()).collect()}
+    order, found = ["assign", "access", "hex"], 0
+    for r in documents.collect():
+        spans = [(m.start(), order.index(kind), m.end()) for p, least, kind in patterns for m in p.finditer(r.text or "") if len(m[p.groups]) >= least]
+        assert got[r.doc_id] == [(order[k], a, b) for a, k, b in sorted(spans)]
+        found += len(spans)
+    assert found
+
+
+def test_field_finds_secrets_of_other_forms(spark):
+    """Made secrets with cue words and prefixes that training doesn't use, in documents that it doesn't see; the base patterns find next to none."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").filter("text is not null")
+    field = op10_secrets.fit(docs.filter("doc_id % 5 <> 0"))
+    rng, texts, places = random.Random(3), [], []
+    plain = [r.text for r in docs.filter("doc_id % 5 = 0").collect()]
+    for t in plain:
+        w = t.split(" ")
+        i = rng.randrange(len(w) + 1)
+        made = op10_secrets.made_secret(rng, ("db_pass", "api-credential", "accesskey", "webhook_key"), ("tok_", "dop_v1_", "EAAC"))
+        start = len(" ".join(w[:i])) + (i > 0)
+        texts.append(" ".join([*w[:i], made, *w[i:]]))
+        places.append((start, start + len(made)))
+    found = lambda texts: [spans for _, spans in op10_secrets._found(pa.array(texts), field.light())]
+    hit = [any(k == 3 and x < b and a < y for x, k, y in spans) for (a, b), spans in zip(places, found(texts), strict=True)]
+    assert np.mean(hit) > 0.75 and sum(k == 3 for spans in found(plain) for _, k, _ in spans) <= 0.02 * len(plain)
+
+
 def test_viterbi_against_plain_dynamic_programme():
     rng = np.random.default_rng(5)
     for _ in range(200):
