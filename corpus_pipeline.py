@@ -4,14 +4,16 @@ Each stage takes (spark, docs, sf_dir), docs being all that the stage before kep
 reads again for the next. All but the last return the columns of docs; the last gives token ids for each text.
 
 quality         goes by the ordinal model's tail probability, fitted on `labels`: toxic and low-quality documents go
-near_duplicates one document of each group of near copies stays (five words, 0.8), that of least doc_id
+near_duplicates one document of each group of near copies stays (five words, 0.8), that of least doc_id; rows of one
+                doc_id, or of none, are told apart by their texts
 decontaminate   documents with a window similar to a benchmark item go
 secrets         secrets in the texts are replaced by a mark, n_chars follows; every document stays
 tokens          texts are encoded; the ids are decoded and compared, which `round_trip` tells
 
 Null and empty texts are kept or dropped as the operators' own docstrings say; extra columns are carried through.
-ORACLE_SQL is None: the trained stages and the encoder cannot be written in SQL; tests hold the stages against
-brute-force versions.
+ORACLE_SQL is None: the trained stages and the encoder cannot be written in SQL. Tests hold the operators of the stages
+against brute force (near copies, spans of the base patterns), SQL (benchmark leaks), the tokenizer's library and held-out
+grades; the stages in a row are tested by counts and planted rows only.
 """
 
 from __future__ import annotations
