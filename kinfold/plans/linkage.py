@@ -66,8 +66,9 @@ def sides(norm: DataFrame) -> tuple[DataFrame, DataFrame]:
     return norm.filter(F.col("entity_id").startswith("S1-")), norm.filter(~F.col("entity_id").startswith("S1-"))
 
 
-def candidates(spark: SparkSession, d: str, settings: B.Settings = B.Settings(), only: str | None = None) -> DataFrame:
-    queries, index = sides(R.stored_norm(spark, d))
+def candidates(spark: SparkSession, d: str, settings: B.Settings = B.Settings(), only: str | None = None, norm: DataFrame | None = None) -> DataFrame:
+    """Pairs of the passes over `norm`, which a query that needs it again hands in; else it is stored here."""
+    queries, index = sides(R.stored_norm(spark, d) if norm is None else norm)
     if only is None:
         return B.block(queries, index, settings)
     bit = B.PASSES[only]
@@ -111,7 +112,7 @@ def r6(*columns: str) -> list:
 
 def set_features(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
     norm = R.stored_norm(spark, d)
-    made = X.with_sets(X.attached(candidates(spark, d, only=only), norm)).join(norm.select(F.col("entity_id").alias("s1_entity_id"), "country"), "s1_entity_id")
+    made = X.with_sets(X.attached(candidates(spark, d, only=only, norm=norm), norm)).join(norm.select(F.col("entity_id").alias("s1_entity_id"), "country"), "s1_entity_id")
     return made.withColumns({c: F.round(c, 6) for c in ROUNDED})
 
 
@@ -146,12 +147,14 @@ def _group(spark, d, only=ONE):
 
 @query("features_missing_ids", f"WITH {S.SCORED}, ids AS (SELECT s1_entity_id AS entity_id FROM pairs UNION SELECT candidate_entity_id FROM pairs) SELECT entity_id FROM ids WHERE entity_id NOT IN (SELECT entity_id FROM norm)")
 def _missing(spark, d, only=ONE):
-    return X.missing(candidates(spark, d, only=only), R.norm(spark, d))
+    norm = R.stored_norm(spark, d)
+    return X.missing(candidates(spark, d, only=only, norm=norm), norm)
 
 
 @query("features_all")
 def _all_features(spark, d):
-    return X.features(candidates(spark, d), R.stored_norm(spark, d))
+    norm = R.stored_norm(spark, d)
+    return X.features(candidates(spark, d, norm=norm), norm)
 
 
 @query(
@@ -339,10 +342,11 @@ _MISSED = f"WITH {S.SCORED}, lost AS (SELECT source1_entity_id AS a, matched_ent
 
 
 def missed(spark: SparkSession, d: str, only: str | None = ONE) -> DataFrame:
-    pairs = candidates(spark, d, only=only)
+    norm = R.stored_norm(spark, d)
+    pairs = candidates(spark, d, only=only, norm=norm)
     if only is not None:
         pairs = pairs.filter(F.col("candidate_entity_id").startswith("S2-"))
-    return G.missed(pairs, R.true_links(spark, d), R.stored_norm(spark, d))
+    return G.missed(pairs, R.true_links(spark, d), norm)
 
 
 @query("report_missed_links", f"{_MISSED} SELECT * FROM ms")
@@ -435,7 +439,7 @@ def _stages(spark, d, only=ONE):
 
 def _training(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     norm = R.stored_norm(spark, d)
-    pairs = B.labelled(candidates(spark, d), R.true_links(spark, d))
+    pairs = B.labelled(candidates(spark, d, norm=norm), R.true_links(spark, d))
     made = stored(X.features(pairs, norm), "features")
     return made.filter(T.fold("s1_entity_id", salt=9) == 0), made.filter(T.fold("s1_entity_id", salt=9) == 1)
 
