@@ -7,7 +7,7 @@ from left to right, carrying its state and adding log probabilities. With c the
     P(w | h) = (c(h w) + K(h) P(w | h')) / (c(h) + K(h)),   K(h) = A + B c(h),   h' = h without its first token
 
 so that a history's arcs hold P(w | h), its failure arc K(h) / (c(h) + K(h)), and the probabilities after any history add up
-to one. Texts begin in the state of a start mark and end with an end token, which is counted.
+to one. Of the pairs A, B that were tried, 5 and 1 give held-out texts the most. Texts begin in the state of a start mark and end with an end token, which is counted.
 
 Counts cover all training texts and grow with them. No table of n-grams ever meets in one place: rows are dealt to
 blocks of about `BLOCK_BYTES`; each block sends its sorted distinct n-gram hashes and counts, cut into ranges of hashes,
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .shared import mix64, packed, shuffle_width, table, texts_of, unpacked
 
 ORDER = 2
-A, B = 1.0, 2.0
+A, B = 5.0, 1.0
 BLOCK_BYTES = 16_000_000
 FOLDS, HELD_OUT = 5, 1
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
