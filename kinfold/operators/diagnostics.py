@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import similarities
+from ..functions.text import light
+from . import split, tune
 from .blocking import PASSES
 from .metrics import ceiling
+from .selection import Rules
 
 
 def found_links(pairs: DataFrame, links: DataFrame) -> DataFrame:
@@ -49,6 +53,33 @@ def missed_report(rows: DataFrame) -> DataFrame:
     return rows.groupBy("country").agg(F.count(F.lit(1)).alias("n_missed"), share("shares_word"), share("shares_number"), share("empty_address"))
 
 
+def missed_likeness(rows: DataFrame, norm: DataFrame) -> DataFrame:
+    """rows of `missed` with the token-set similarity of the sides' names and addresses, and whether each side has a number."""
+    side = lambda p, key: norm.select(F.col("entity_id").alias(key), *(F.col(c).alias(f"{p}_{c}") for c in ("name_core", "addr_norm", "addr_nums")))
+    both = rows.join(side("a", "s1_entity_id"), "s1_entity_id").join(side("b", "candidate_entity_id"), "candidate_entity_id")
+    alike = similarities({n: ("token_set", F.col(f"a_{c}"), F.col(f"b_{c}")) for n, c in (("name_tset", "name_core"), ("addr_tset", "addr_norm"))})
+    held = both.withColumn("__s", alike)
+    return held.select(*rows.columns, "__s.name_tset", "__s.addr_tset", *((F.col(f"{p}_addr_nums") != "").alias(f"{p}_has_number") for p in "ab"))
+
+
+def missed_likeness_report(rows: DataFrame, *by: str) -> DataFrame:
+    """Of rows of `missed_likeness`: shares that are alike by name or address (80 or more) or by neither (both below 50), of either
+    side with a number, and the median similarities."""
+    share = lambda c, name: F.avg(c.cast("int")).alias(name)
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_missed"), share(F.col("name_tset") >= 80, "name_alike"), share(F.col("addr_tset") >= 80, "addr_alike"), share((F.col("name_tset") < 50) & (F.col("addr_tset") < 50), "neither_alike"),
+        share(F.col("a_has_number"), "a_has_number"), share(F.col("b_has_number"), "b_has_number"), F.median("name_tset").alias("median_name"), F.median("addr_tset").alias("median_addr"),
+    )
+
+
+def examples(rows: DataFrame, records: DataFrame, n: int, *, seed: int = split.SEED) -> DataFrame:
+    """n pairs of rows by the hash of their ids, with both sides' names and addresses as they were given."""
+    key = F.concat("s1_entity_id", F.lit(" "), "candidate_entity_id")
+    few = rows.withColumn("__id", key).orderBy(split.order_key("__id", seed), "__id").limit(n).drop("__id")
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), F.col("business_name").alias(f"{p}_name"), F.col("business_address").alias(f"{p}_address"))
+    return few.join(side("a", "s1_entity_id"), "s1_entity_id", "left").join(side("b", "candidate_entity_id"), "candidate_entity_id", "left")
+
+
 def error_type() -> Column:
     """The class of an entity's result, from tp, n_pred, n_true, fp, fn."""
     t, p, fp, fn = (F.col(c) for c in ("n_true", "n_pred", "fp", "fn"))
@@ -86,6 +117,18 @@ def wrong_matches(predicted: DataFrame, links: DataFrame) -> DataFrame:
     return wrong.join(owners, "candidate_entity_id", "left").groupBy(F.substring("candidate_entity_id", 1, 2).alias("source"), kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def trials(scores: DataFrame, links: DataFrame, entities: DataFrame, rules: Rules, *, thresholds: list[float] = tune.THRESHOLDS, top1: list[float | None] = tune.TOP1) -> list[tuple[str, float, float]]:
+    """(trial, F0.5, gain over the rules as they are): other rescues, thresholds tuned again by country, and by source on top of these."""
+    now = tune.score_of(scores, links, entities, rules)
+    tried = [("as it is", now)]
+    for t in top1:
+        tried.append((f"rescue {t}", tune.score_of(scores, links, entities, Rules(rules.threshold, rules.one_owner, t, rules.by_country))))
+    by_country, score = tune.tune_by_country(scores, links, entities, rules, thresholds=thresholds)
+    tried.append(("thresholds by country", score))
+    tried.append(("thresholds by source", tune.tune_by_source(scores, links, entities, by_country, thresholds=thresholds)[1]))
+    return [(name, f, f - now) for name, f in tried]
+
+
 def histogram(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
     """Counts by right-closed bins, numbered from 0; what lies outside of the edges is left out."""
     bin_ = F.lit(None).cast("int")
@@ -103,6 +146,33 @@ def profile(records: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def unknown_ids(links: DataFrame, records: DataFrame) -> DataFrame:
+    """entity_id, side: ids of links, of source 1 or of the others, that no record has."""
+    ids = links.select(F.explode(F.array(*(F.struct(F.col(c).alias("entity_id"), F.lit(s).alias("side")) for c, s in (("source1_entity_id", "query"), ("matched_entity_id", "match"))))).alias("x")).select("x.*").distinct()
+    return ids.join(records.select("entity_id"), "entity_id", "left_anti")
+
+
+def country_crosstab(links: DataFrame, records: DataFrame) -> DataFrame:
+    """country, matched_country, n: links by the countries of both sides, null for unknown ids."""
+    side = lambda key, name: records.select(F.col("entity_id").alias(key), F.col("country").alias(name))
+    held = links.join(side("source1_entity_id", "country"), "source1_entity_id", "left").join(side("matched_entity_id", "matched_country"), "matched_entity_id", "left")
+    return held.groupBy("country", "matched_country").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_rates(links: DataFrame, records: DataFrame, *, sample: int | None = 200_000, seed: int = 42) -> DataFrame:
+    """n_links, name_equal, address_equal, both_equal: how often the sides of true links agree after light normalization, over the
+    `sample` links of least hash (None: all). Links to unknown ids agree in nothing."""
+    held = links.select("source1_entity_id", "matched_entity_id").distinct()
+    if sample is not None:
+        held = held.withColumn("__id", F.concat("source1_entity_id", F.lit(" "), "matched_entity_id"))
+        held = held.orderBy(split.order_key("__id", seed), "__id").limit(sample).drop("__id")
+    side = lambda p, key: records.select(F.col("entity_id").alias(key), *(light(F.coalesce(c, F.lit(""))).alias(f"{p}_{n}") for n, c in (("name", "business_name"), ("address", "business_address"))))
+    both = held.join(side("a", "source1_entity_id"), "source1_entity_id", "left").join(side("b", "matched_entity_id"), "matched_entity_id", "left")
+    same = {n: F.coalesce(F.col(f"a_{n}") == F.col(f"b_{n}"), F.lit(False)) for n in ("name", "address")}
+    rate = lambda c, name: F.avg(c.cast("int")).alias(name)
+    return both.agg(F.count(F.lit(1)).alias("n_links"), rate(same["name"], "name_equal"), rate(same["address"], "address_equal"), rate(same["name"] & same["address"], "both_equal"))
+
+
 def outside(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     """Matches that are no candidates: none, if all is well."""
     return pairs.join(candidates, ["s1_entity_id", "candidate_entity_id"], "left_anti")

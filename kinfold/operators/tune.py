@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .metrics import by_entity
-from .selection import Rules, blended, selected
+from .selection import Rules, blended, selected, threshold_of
 
 THRESHOLDS = [round(0.3 + 0.025 * i, 3) for i in range(26)]
 TOP1 = [None, 0.1, 0.2, 0.3]
+SOURCES = ("S2", "S3")
 WEIGHTS = [1.0, 0.8, 0.6, 0.5, 0.4, 0.2, 0.0]
 LEAST_GAIN = 1e-9
 
@@ -67,16 +68,28 @@ def tune_by_country(scores: DataFrame, links: DataFrame, entities: DataFrame, ru
 
 
 def tune_by_source(scores: DataFrame, links: DataFrame, entities: DataFrame, rules: Rules, *, thresholds: list[float] = THRESHOLDS, rounds: int = 2) -> tuple[Rules, float]:
-    """Coordinate descent on each country's thresholds of source 2, then 3; steps depend on each other, so this is a loop of grid jobs on the driver."""
+    """Coordinate descent on each country's thresholds of source 2, then 3. Steps depend on each other, so this is a loop on the
+    driver, but a step is one grid job over the rows of its country: matches never cross countries, and the mean over all
+    entities moves by what the country's sum gains."""
     best = score_of(scores, links, entities, rules)
-    countries = sorted(r[0] for r in entities.select("country").distinct().collect() if r[0] is not None)
+    sizes = {r["country"]: r["n"] for r in entities.groupBy("country").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, countries = sum(sizes.values()), sorted(c for c in sizes if c is not None)
+    points = scores.sparkSession.createDataFrame([(i, t) for i, t in enumerate(thresholds)], "point int, threshold double")
     for _ in range(rounds):
         before = best
-        for key in (f"{c}|{s}" for c in countries for s in ("S2", "S3")):
-            tried = [(score_of(scores, links, entities, rules.changed(key, t)), -t) for t in thresholds]
-            if tried and max(tried)[0] > best + LEAST_GAIN:
-                best, low = max(tried)
-                rules = rules.changed(key, -low)
+        for country, source in ((c, s) for c in countries for s in SOURCES):
+            if not thresholds:
+                continue
+            own, held = entities.filter(F.col("country") == country), scores.filter(F.col("country") == country)
+            now = score_of(held, links, own, rules) * sizes[country]
+            met = held.crossJoin(F.broadcast(points))
+            thr = F.when(F.substring("candidate_entity_id", 1, 2) == source, F.col("threshold")).otherwise(threshold_of(rules))
+            kept = selected(met, rules, within=("point",), threshold=thr).select("point", "s1_entity_id", "candidate_entity_id")
+            each = by_entity(kept, links, own.crossJoin(F.broadcast(points)), within=("point",)).groupBy("threshold").agg(F.sum("f05").alias("f05"))
+            top = each.orderBy(F.desc("f05"), "threshold").first()
+            gain = (top["f05"] - now) / total
+            if gain > LEAST_GAIN:
+                best, rules = best + gain, rules.changed(f"{country}|{source}", top["threshold"])
         if best <= before + LEAST_GAIN:
             break
     return rules, best
