@@ -85,13 +85,15 @@ def word_rescorer(train: DataFrame, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs).withColumn("ce", vector_to_array("probability")[1].cast("float")).select(*pairs.columns, "ce")
 
 
-def rescored(train: DataFrame, scores: DataFrame, norm: DataFrame, *, k: int = 10, least: float = KEEP_FROM, scorer: Rescorer = word_rescorer) -> DataFrame:
-    """s1_entity_id, candidate_entity_id, ce of each entity's k best pairs, by a scorer that learns from those of train."""
+def rescored(train: DataFrame, scores: DataFrame, norm: DataFrame, *, train_norm: DataFrame | None = None, k: int = 10, least: float = KEEP_FROM, scorer: Rescorer = word_rescorer) -> DataFrame:
+    """s1_entity_id, candidate_entity_id, ce of each entity's k best pairs, by a scorer that learns from those of train.
 
-    def best(df: DataFrame) -> DataFrame:
+    The records of train are in norm too, unless `train_norm` has them: registries of different splits may share ids."""
+
+    def best(df: DataFrame, norm: DataFrame) -> DataFrame:
         top = split.top_k(df, k, least=least)
         texts = norm.select("entity_id", "name_norm", "addr_norm")
         left, right = pair_text(texts, "left"), pair_text(texts, "right")
         return top.join(left, top["s1_entity_id"] == left["left"]).join(right, top["candidate_entity_id"] == right["right"])
 
-    return scorer(best(train), best(scores)).select("s1_entity_id", "candidate_entity_id", "ce")
+    return scorer(best(train, norm if train_norm is None else train_norm), best(scores, norm)).select("s1_entity_id", "candidate_entity_id", "ce")

@@ -199,8 +199,7 @@ def cross_encoder(
     _save(spark, {"weight": weight}, f"{out_dir}/weight")
     if not val_only:
         test = spark.read.parquet(f"{run_dir}/test_scores.parquet")
-        both = norm.unionByName(_norm(spark, work_dir, "test"))
-        again = stored(L.rescored(half(scores, 0), test, both, k=topk, least=min_score, scorer=scorer), "again")
+        again = stored(L.rescored(half(scores, 0), test, _norm(spark, work_dir, "test"), train_norm=norm, k=topk, least=min_score, scorer=scorer), "again")
         io.write_parquet(test.join(again, list(PAIR), "left"), f"{out_dir}/ce_test_scores.parquet")
         _write_matches(P.blended(test, again, weight), rules, _norm(spark, work_dir, "test", (1,)).select("entity_id"), f"{out_dir}/matching_results.tsv")
     return weight, found

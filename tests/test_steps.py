@@ -54,6 +54,16 @@ def test_steps_end_to_end(spark, data, tmp_path):
     again = str(tmp_path / "again")
     steps.train_predict(spark, work, again, resource_dir=run, apply_only=True)
     assert lists == {r.source1_entity_id: r.matched_entity_ids for r in spark.read.csv(f"{again}/matching_results.tsv", sep="\t", header=True).collect()}
+    ce = str(tmp_path / "ce")
+    assert steps.cross_encoder(spark, run, work, ce, force_weight=0.5)[0] == 0.5
+    blended, _ = steps._final_scores(spark, run, ce, "test")
+    assert blended.columns == spark.read.parquet(f"{run}/test_scores.parquet").columns and blended.count() == spark.read.parquet(f"{run}/test_scores.parquet").count()
+    errors = {k: v.collect() for k, v in steps.analyze_errors(spark, run, work, data, out_dir=str(tmp_path / "e")).items()}
+    trials = {r.trial: r.f05 for r in errors["trials"]}
+    assert sum(r.n for r in errors["errors"]) == 25 and errors["figures"][0].f05 == pytest.approx(found) == pytest.approx(trials["as it is"])
+    assert trials["thresholds by source"] >= trials["thresholds by country"] >= trials["as it is"]
+    misses = {k: v.collect() for k, v in steps.analyze_misses(spark, work, "train_val").items()}
+    assert misses["examples"] == [] and misses["alike"][0].n_missed == 0
     folders = steps.france_threshold(spark, run, data, str(tmp_path / "f"), france=[2.0])
     none = {r.source1_entity_id: r.matched_entity_ids for r in spark.read.csv(folders[0], sep="\t", header=True).collect()}
     assert all((none[f"S1-{i}"] or "") == ("" if i % 3 == 0 else lists[f"S1-{i}"] or "") for i in range(60) if steps._rules(spark, run).top1_threshold is None)
