@@ -43,3 +43,22 @@ def test_registered(spark):
     S.register(spark)
     row = spark.range(1).select(F.expr("token_set_ratio('a b', 'b')").alias("x"), F.expr("jaro_winkler('a', 'a')").alias("y"), F.expr("ratio(null, '')").alias("z")).first()
     assert (row.x, row.y, row.z) == (100, 1, 100)
+
+
+@given(WORDS, WORDS)
+def test_partial_ratio_against_all_windows(a, b):
+    def best(short, long):
+        n = len(short)
+        return max(200 * lcs_by_table(short, w) / (n + len(w)) for w in (long[max(0, i) : i + n] for i in range(1 - n, len(long))))
+
+    short, long = sorted((a, b), key=len)
+    if short:
+        assert S.partial_ratio(a, b) == pytest.approx(max(best(short, long), best(long, short) if len(a) == len(b) else 0))
+
+
+@given(st.text("abc", max_size=9), st.text("abc", max_size=9))
+def test_jaro_winkler_against_duckdb(a, b):
+    import duckdb
+
+    if a and b:
+        assert S.jaro_winkler(a, b) == pytest.approx(duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0])
