@@ -359,6 +359,23 @@ def _missed(spark, d, only=ONE):
     return G.missed_report(missed(spark, d, only)).select("country", "n_missed", *r6("shares_word", "shares_number", "empty_address"))
 
 
+@query("report_missed_likeness")
+def _missed_likeness(spark, d):
+    norm = R.stored_norm(spark, d)
+    lost = G.missed(candidates(spark, d, norm=norm), R.true_links(spark, d), norm)
+    return G.missed_likeness_report(G.missed_likeness(lost, norm), "country").select("country", "n_missed", *r6("name_alike", "addr_alike", "neither_alike", "a_has_number", "b_has_number", "median_name", "median_addr"))
+
+
+@query("report_link_countries", f"WITH {S.blocking()} SELECT x.country, y.country AS matched_country, count(*) AS n FROM links LEFT JOIN rec x ON x.entity_id = source1_entity_id LEFT JOIN rec y ON y.entity_id = matched_entity_id GROUP BY ALL")
+def _link_countries(spark, d):
+    return G.country_crosstab(R.true_links(spark, d), R.records(spark, d))
+
+
+@query("report_exact_rates", f"WITH {S.blocking()}, both_sides AS (SELECT trim(regexp_replace(regexp_replace(lower(x.business_name), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS a, trim(regexp_replace(regexp_replace(lower(y.business_name), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS b, trim(regexp_replace(regexp_replace(lower(x.business_address), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS c, trim(regexp_replace(regexp_replace(lower(y.business_address), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS d FROM (SELECT DISTINCT * FROM links) l LEFT JOIN rec x ON x.entity_id = source1_entity_id LEFT JOIN rec y ON y.entity_id = matched_entity_id) SELECT count(*) AS n_links, round(avg(CAST(a = b AS INT)), 6) AS name_equal, round(avg(CAST(c = d AS INT)), 6) AS address_equal, round(avg(CAST(a = b AND c = d AS INT)), 6) AS both_equal FROM both_sides")
+def _exact_rates(spark, d):
+    return G.exact_rates(R.true_links(spark, d), R.records(spark, d), sample=None).select("n_links", *r6("name_equal", "address_equal", "both_equal"))
+
+
 _ERROR = "CASE WHEN n_true = 0 AND n_pred > 0 THEN 'singleton, wrong prediction' WHEN n_true > 0 AND n_pred = 0 THEN 'matches exist, none predicted' WHEN n_true > 0 AND fn > 0 AND fp = 0 THEN 'missed some matches only' WHEN n_true > 0 AND fp > 0 AND fn = 0 THEN 'wrong matches only' WHEN n_true > 0 AND fp > 0 AND fn > 0 THEN 'both missed and wrong' ELSE 'correct' END"
 
 
