@@ -22,10 +22,13 @@ KEEP_FROM = 0.02
 
 
 def fit_trees(df: DataFrame, features: list[str], *, rounds: int = 20, depth: int = 4, validation: str | None = None, seed: int = split.SEED) -> PipelineModel:
-    """Boosted trees on float features; with a validation flag, rounds stop when it no longer improves."""
+    """Boosted trees on float features; with a validation flag, rounds stop when it no longer improves (all are made where no row, or
+    every row, has it)."""
     kind = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.1, subsamplingRate=0.9, minInstancesPerNode=5, seed=seed)
-    if validation:
+    if validation and df.select(validation).distinct().count() == 2:
         kind = kind.setValidationIndicatorCol(validation)
+    elif validation:
+        df = df.drop(validation)
     rows = df.withColumn("label", F.col("label").cast("double"))
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), kind]).fit(rows)
 
