@@ -101,3 +101,15 @@ def test_stream(spark, small, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("s1_entity_id", "candidate_entity_id", "passes")
     expected = registry.queries()["blocking_all"](spark, small).select("s1_entity_id", "candidate_entity_id", "passes")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_jaro_winkler_query_of_other_letters(spark, tmp_path):
+    import duckdb
+
+    texts = ["große straße haus bau", "straße haus große bau", "bau große straßen haus", "name of plain letters", "plain name letters of"]
+    rows = [(i, f"{t} acht worte mehr als der name hat {i}", "de", f"src{i % 3}", 60) for i, t in enumerate(texts * 3)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, registry.queries()["features_jaro_winkler"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(registry.oracle_sql()["features_jaro_winkler"]).fetchall()) and any("S2" in r[1] and 0 < r[2] < 1 for r in got)

@@ -62,3 +62,11 @@ def test_jaro_winkler_against_duckdb(a, b):
 
     if a and b:
         assert S.jaro_winkler(a, b) == pytest.approx(duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0])
+
+
+@given(st.text("abßи", max_size=9), st.text("abßи", max_size=9))
+def test_jaro_winkler_of_bytes_against_duckdb(a, b):
+    import duckdb
+
+    if a and b:
+        assert S.jaro_winkler_bytes(a, b) == pytest.approx(duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0])
