@@ -2,27 +2,18 @@
 
 `ratio` is 200 * LCS / (length of both), by a bit-parallel longest common subsequence. Spark has no such built-in, so
 these run as Arrow-batched pandas UDFs; all similarities of a pair come from one call, and a batch computes each
-distinct pair of strings once.
+distinct pair of strings once. The functions of one pair define what `combing` computes for many.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def lcs(a: str, b: str) -> int:
-    """The length of the longest common subsequence: one addition of long integers a character of b."""
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for c in b:
-        hit = row & where.get(c, 0)
-        row = (row + hit | row - hit) & full
-    return len(a) - row.bit_count()
+from . import combing as C
+from .combing import lcs
 
 
 def ratio(a: str, b: str) -> float:
@@ -100,26 +91,42 @@ def jaro_winkler_bytes(a: str, b: str) -> float:
 KINDS = {"ratio": ratio, "token_sort": token_sort_ratio, "token_set": token_set_ratio, "partial": partial_ratio, "jaro_winkler": jaro_winkler, "jaro_winkler_bytes": jaro_winkler_bytes}
 
 
+def scores(kinds: set[str], a: list[str], b: list[str]) -> dict[str, np.ndarray]:
+    """The similarities of many pairs, as KINDS defines them for one; ratio and partial ratio come from one comparison."""
+    out = {}
+    if "partial" in kinds:
+        out["ratio"], out["partial"] = C.ratios_and_partial(a, b)
+    elif "ratio" in kinds:
+        out["ratio"] = C.ratios(a, b)
+    if "jaro_winkler_bytes" in kinds:
+        out["jaro_winkler_bytes"] = C.jaro_winklers(*([s.encode().decode("latin-1") for s in x] for x in (a, b)))
+    for kind, score in (("token_sort", C.token_sorts), ("token_set", C.token_sets), ("jaro_winkler", C.jaro_winklers)):
+        if kind in kinds:
+            out[kind] = score(a, b)
+    return out
+
+
 def similarities(pairs: dict[str, tuple[str, Column, Column]]) -> Column:
-    """A struct of similarities: field -> (kind, a, b). Nulls are empty strings."""
-    names, kinds = list(pairs), [k for k, _, _ in pairs.values()]
+    """A struct of similarities: field -> (kind, a, b). Nulls are empty strings. Columns that are one object are sent once."""
+    sent: dict[int, Column] = {}
+    for _, a, b in pairs.values():
+        sent |= {id(a): a, id(b): b}
+    place = {k: i for i, k in enumerate(sent)}
+    fields = [(name, kind, (place[id(a)], place[id(b)])) for name, (kind, a, b) in pairs.items()]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out = {}
-        for i, (name, kind) in enumerate(zip(names, kinds, strict=True)):
-            score, held = KINDS[kind], {}
-            values = []
-            for key in zip(frame.iloc[:, 2 * i].fillna(""), frame.iloc[:, 2 * i + 1].fillna(""), strict=True):
-                if (v := held.get(key)) is None:
-                    v = held[key] = score(*key)
-                values.append(v)
-            out[name] = values
-        return pd.DataFrame(out, columns=names, dtype="float64")
+        out, columns = {}, [frame.iloc[:, i].fillna("").tolist() for i in range(frame.shape[1])]
+        for sides in dict.fromkeys(x for _, _, x in fields):
+            number: dict[tuple[str, str], int] = {}
+            row = [number.setdefault(key, len(number)) for key in zip(*(columns[i] for i in sides), strict=True)]
+            a, b = ([key[i] for key in number] for i in (0, 1))
+            found = scores({kind for _, kind, x in fields if x == sides}, a, b)
+            out |= {name: found[kind][row] for name, kind, x in fields if x == sides}
+        return pd.DataFrame(out, columns=[name for name, _, _ in fields], dtype="float64")
 
     run.__annotations__ = {"frame": pd.DataFrame, "return": pd.DataFrame}
-    sides = [c for _, a, b in pairs.values() for c in (a, b)]
-    udf = F.pandas_udf(run, ", ".join(f"{n} double" for n in names))
-    return udf(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(sides))))
+    udf = F.pandas_udf(run, ", ".join(f"{name} double" for name, _, _ in fields))
+    return udf(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(sent.values()))))
 
 
 def similarity(kind: str, a: Column, b: Column) -> Column:
@@ -128,13 +135,13 @@ def similarity(kind: str, a: Column, b: Column) -> Column:
 
 def register(spark) -> None:
     """The similarities as SQL functions."""
-    for kind, score in KINDS.items():
-        spark.udf.register(kind if kind.startswith(("ratio", "jaro_winkler")) else f"{kind}_ratio", F.pandas_udf(_bound(score), "double"))
+    for kind in KINDS:
+        spark.udf.register(kind if kind.startswith(("ratio", "jaro_winkler")) else f"{kind}_ratio", F.pandas_udf(_bound(kind), "double"))
 
 
-def _bound(score):
+def _bound(kind):
     def run(a, b):
-        return pd.Series([score(x, y) for x, y in zip(a.fillna(""), b.fillna(""), strict=True)], dtype="float64")
+        return pd.Series(scores({kind}, a.fillna("").tolist(), b.fillna("").tolist())[kind], dtype="float64")
 
     run.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
     return run

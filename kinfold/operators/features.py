@@ -99,8 +99,8 @@ def with_sets(pairs: DataFrame) -> DataFrame:
 def with_similarities(pairs: DataFrame) -> DataFrame:
     """The string similarities, all from one UDF call a pair, in single precision so that ties stay ties."""
     glue = lambda s: F.replace(f"{s}_name_core", F.lit(" "), F.lit(""))
-    side = lambda s, c: glue(s) if c == "glued" else F.col(f"{s}_{c}")
-    scored = pairs.withColumn("__s", similarities({n: (k, side("a", c), side("b", c)) for n, (k, c) in SIMILAR.items()}))
+    sides = {c: [glue(s) if c == "glued" else F.col(f"{s}_{c}") for s in "ab"] for _, c in SIMILAR.values()}  # one object each, so that it is sent once
+    scored = pairs.withColumn("__s", similarities({n: (k, *sides[c]) for n, (k, c) in SIMILAR.items()}))
     return scored.withColumns({n: F.col(f"__s.{n}").cast("float") for n in SIMILAR}).drop("__s")
 
 

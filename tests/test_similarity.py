@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import similarity as S
 
 WORDS = st.text("abc d", max_size=14)
+PAIRS = st.lists(st.tuples(*[st.one_of(st.text("abc d", max_size=14), st.text("ab ßи日\U0001F600", max_size=80))] * 2), max_size=30)
 
 
 def lcs_by_table(a, b):
@@ -70,3 +71,32 @@ def test_jaro_winkler_of_bytes_against_duckdb(a, b):
 
     if a and b:
         assert S.jaro_winkler_bytes(a, b) == pytest.approx(duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0])
+
+
+@given(PAIRS)
+def test_many_pairs_as_one_by_one(pairs):
+    a, b = ([p[i] for p in pairs] for i in (0, 1))
+    found = S.scores({*S.KINDS}, a, b)
+    for kind, one in S.KINDS.items():
+        assert found[kind].tolist() == [one(x, y) for x, y in pairs]
+    assert S.scores({"ratio"}, a, b)["ratio"].tolist() == found["ratio"].tolist()
+
+
+def test_long_strings_and_many_letters():
+    a = ["ab" * 400, "".join(map(chr, range(200, 900))), "abc " * 30, "x"]
+    b = ["ba" * 300 + "c", "".join(map(chr, range(201, 700))), "bca " * 33, "x" * 600]
+    for kind in ("ratio", "token_sort", "token_set", "jaro_winkler"):
+        assert S.scores({kind}, a, b)[kind].tolist() == [S.KINDS[kind](x, y) for x, y in zip(a, b, strict=True)]
+    assert S.scores({"partial"}, a[2:], b[2:])["partial"].tolist() == [S.partial_ratio(x, y) for x, y in zip(a[2:], b[2:], strict=True)]
+
+
+def test_time_of_long_partial_ratios():
+    """Work grows with the strings' lengths, not with windows times lengths (one window at a time, 60 pairs took 2.0 s)."""
+    import random
+    import time
+
+    draw = random.Random(1)
+    a, b = (["".join(draw.choices("abcdefgh ", k=n)) for _ in range(240)] for n in (150, 400))
+    began = time.process_time()
+    found = S.scores({"partial"}, a, b)["partial"]
+    assert time.process_time() - began < 2 and found[0] == S.partial_ratio(a[0], b[0])
