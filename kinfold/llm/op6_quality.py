@@ -9,7 +9,7 @@ P(grade >= `GOOD`), by which documents are selected.
 The model is fitted on a bounded sample: the `SAMPLE` labelled doc_ids of least hash, of each the row of least text
 hash, as far as their features together are `FIT_ENTRIES` at most (a row that would exceed them is passed over); a label
 that occurs several times counts once, at its lowest quality and highest toxicity; rows without a grade are left out.
-The driver holds eight bytes an entry and computes gradients by blocks. Everything is scored, whole.
+The driver takes the entries a part after another, holds eight bytes an entry and computes gradients by blocks. Everything is scored, whole.
 Without labels (or documents) nothing is known and everything is kept. Null and empty texts are scored by their surface
 alone. Repeated rows score alike. An empty table gives no rows; columns whose names clash with new ones are replaced.
 Scoring needs no shuffle; the weights that are sent are those of words in `LEAST_DOCS` sampled documents at least, so
@@ -30,6 +30,7 @@ from .shared import Texts, dropped, give_back, kept, raw_slices, table, trimmed
 SAMPLE = 20_000
 FIT_ENTRIES = 16_000_000
 BLOCK = 400_000
+PART = 1_000_000
 LEAST_DOCS = 8
 PLACES = 1 << 22
 BINS = 12
@@ -98,25 +99,40 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - scores[:, None], -50, 50)))
 
 
+def _blocks(first: np.ndarray) -> list[tuple[int, int, slice]]:
+    """First row, row after the last and entries of blocks of `BLOCK` entries or so."""
+    out, a, n = [], 0, len(first) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(first, first[a] + BLOCK, "right")) - 1)
+        out.append((a, b, slice(first[a], first[b])))
+        a = b
+    return out
+
+
 def train(grade: np.ndarray, first: np.ndarray, place: np.ndarray, value: np.ndarray, bins: np.ndarray, rounds: int = 200, rate: float = 0.3, decay: float = 2e-6) -> Model:
-    """Full-batch Adam on the penalised likelihood of the grades. first: where each row's entries (place, value) begin, and their end."""
+    """Full-batch Adam on the penalised likelihood of the grades. first: where each row's entries (place, value: overwritten) begin, and their end."""
     n = len(grade)
     if not n:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(SURFACE * BINS), np.array([-50.0, -50.0]))
-    count = np.bincount(place, minlength=PLACES)
+    blocks = _blocks(first)
+    # block by block and in place, so that the driver holds nothing twice
+    count = np.zeros(PLACES, np.int32)
+    for _, _, part in blocks:
+        np.add.at(count, place[part], 1)
     names = np.flatnonzero(count >= LEAST_DOCS)
     number = np.full(PLACES, -1, np.int32)
     number[names] = np.arange(len(names), dtype=np.int32)
-    at = number[place]
-    held = at >= 0
-    first = np.concatenate([[0], np.cumsum(held)])[first]
-    at, value = at[held], value[held].astype(np.float32)
-    del count, number, held, place
-    blocks, a = [], 0
-    while a < n:
-        b = max(a + 1, int(np.searchsorted(first, first[a] + BLOCK, "right")) - 1)
-        blocks.append((a, b, slice(first[a], first[b])))
-        a = b
+    starts, end = np.zeros(n + 1, np.int64), 0
+    for a, b, part in blocks:
+        found = number[place[part]]
+        held = found >= 0
+        to = end + int(held.sum())
+        place[end:to], value[end:to] = found[held], value[part][held]
+        starts[a + 1 : b + 1] = end + np.concatenate([[0], np.cumsum(held)])[first[a + 1 : b + 1] - first[a]]
+        end = to
+    first, at, value = starts, place[:end], value[:end]
+    blocks = _blocks(first)
+    del count, number
     size = np.bincount(grade, minlength=GRADES)
     weight = np.sqrt(n / (GRADES * np.maximum(size, 1)))[grade]
     weight /= weight.sum()
@@ -189,16 +205,33 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", sample: int =
     sizes = one.toArrow()
     take = _within(np.lexsort((sizes.column("doc_id").to_numpy(), sizes.column("key").to_numpy())), sizes.column("many").to_numpy(), entries)
     wanted = docs.sparkSession.createDataFrame(sizes.select(["doc_id", "named"]).filter(pa.array(take))) if take.any() else one.select("doc_id", "named").limit(0)
-    got = made.join(F.broadcast(wanted), ["doc_id", "named"]).groupBy("doc_id").agg(*(F.first(c).alias(c) for c in ("grade", "place", "value", "bins"))).toArrow().sort_by("doc_id")
-    dropped(made)
-    if not len(got):
+    ids, many = (sizes.column(c).to_numpy()[take] for c in ("doc_id", "many"))
+    order = np.argsort(ids)
+    ids, many = ids[order], many[order].astype(np.int64)
+    del sizes, take, order
+    if not len(ids):
+        dropped(made)
         return train(np.zeros(0, int), np.zeros(1, int), *(np.zeros(0, int) for _ in range(2)), np.zeros((0, SURFACE), int))
-    column = lambda c: got.column(c).combine_chunks()
-    many = column("place").value_lengths().to_numpy(zero_copy_only=False)
-    flat = lambda c: column(c).flatten().to_numpy(zero_copy_only=False)
-    grade, first = got.column("grade").to_numpy().astype(int), np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
-    place, value, bins = flat("place"), flat("value"), flat("bins").reshape(-1, SURFACE)  # four bytes an entry, to spare the driver
-    del got, many, column
+    got = kept(made.join(F.broadcast(wanted), ["doc_id", "named"]).groupBy("doc_id").agg(*(F.first(c).alias(c) for c in ("grade", "place", "value", "bins"))), "fitted")
+    dropped(made)
+    first = np.concatenate([[0], np.cumsum(many)])
+    grade, bins = np.zeros(len(ids), int), np.zeros((len(ids), SURFACE), np.int32)
+    place, value = np.empty(first[-1], np.int32), np.empty(first[-1], np.float32)  # eight bytes an entry
+    parts = 1 + int(first[-1]) // PART  # the driver takes `PART` entries or so at once
+    for k in range(parts):
+        some = got.filter(F.pmod(F.xxhash64(F.lit("parts"), "doc_id"), F.lit(parts)) == k).toArrow()
+        for batch in some.to_batches():
+            row = np.searchsorted(ids, batch.column("doc_id").to_numpy())
+            grade[row], bins[row] = batch.column("grade").to_numpy(), batch.column("bins").flatten().to_numpy().reshape(-1, SURFACE)
+            to = np.concatenate([[0], np.cumsum(many[row])])
+            flat = [batch.column(c).flatten().to_numpy() for c in ("place", "value")]
+            for i, r in enumerate(row.tolist()):
+                for out, x in zip((place, value), flat, strict=True):
+                    out[first[r] : first[r + 1]] = x[to[i] : to[i + 1]]
+            del batch, flat
+        del some
+        give_back()
+    dropped(got)
     model = train(grade, first, place, value, bins)
     del place, value, bins
     give_back()

@@ -471,3 +471,17 @@ def test_shared_shapes():
 
     sizes = [int(x) for _, _, t in texts_of(column, most=1) for x in np.diff(t.first)]
     assert sizes == [2, 0, 0, 3]
+
+
+def test_fit_of_quality_holds_entries_once():
+    """The driver's memory is what stopped the pipeline: beside its entries, training holds tables of places and one block."""
+    import tracemalloc
+
+    draw, n, each = np.random.default_rng(0), 4000, 1000
+    place, value = draw.integers(0, 50_000, n * each, np.int32), np.full(n * each, 0.1, np.float32)
+    bins = np.zeros((n, op6_quality.SURFACE), np.int32) + np.arange(op6_quality.SURFACE) * op6_quality.BINS
+    tracemalloc.start()
+    model = op6_quality.train(draw.integers(0, 3, n), np.arange(n + 1) * each, place, value, bins, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.places) == 50_000 and peak < 70_000_000
