@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.store import stored
 from . import split
 from .context import SCORE_FEATURES, TRANSITIVE_FEATURES, with_scores, with_transitive
 
@@ -68,7 +69,8 @@ def two_stages(train: DataFrame, others: DataFrame, features: list[str], *, tran
     first, held, _ = out_of_fold(train, others, features, **options)
     a, more = second_stage(first, transitive=transitive)
     b, _ = second_stage(held, transitive=transitive)
-    model = fit_trees(a, [*features, *more], **options)
+    used = dict.fromkeys(("label", options.get("validation") or "label", *features, *more))
+    model = fit_trees(stored(a.select(*used), "second-stage"), [*features, *more], **options)  # a fit reads its rows several times
     return scored(model, b.withColumnRenamed("score", "first_score")), model
 
 

@@ -113,3 +113,15 @@ def test_jaro_winkler_query_of_other_letters(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     assert got == sorted(con.execute(registry.oracle_sql()["features_jaro_winkler"]).fetchall()) and any("S2" in r[1] and 0 < r[2] < 1 for r in got)
+
+
+def test_second_stage_is_made_once(spark, monkeypatch):
+    """A fit reads its rows several times; those of the second stage come from windows and similarities."""
+    from kinfold.operators import model as L
+
+    rows = [(f"S1-{i}", f"S2-{j}", float(i % 3 + j), f"name {i}", f"street {j}", int(i % 2 == j % 2)) for i in range(12) for j in range(4)]
+    pairs = spark.createDataFrame(rows, "s1_entity_id string, candidate_entity_id string, x float, b_name_core string, b_addr_norm string, label int")
+    plans = []
+    monkeypatch.setattr(L, "fit_trees", lambda df, features, fit=L.fit_trees, **o: plans.append(df._jdf.queryExecution().toString()) or fit(df, features, **o))
+    made, _ = L.two_stages(pairs, pairs, ["x"], rounds=1, depth=1)
+    assert len(plans) == 3 and "Window" not in plans[2] and "parquet" in plans[2] and made.count() == len(rows)
