@@ -6,6 +6,7 @@ partition by s1_entity_id, so they share one exchange.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def missing(pairs: DataFrame, norm: DataFrame) -> DataFrame:
 
 
 def _tokens(c: str) -> Column:
-    return F.filter(F.split(c, " "), lambda t: t != "")
+    return F.array_remove(F.split(c, " "), "")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -58,9 +59,11 @@ def _share(part: Column, whole: Column) -> Column:
 def with_sets(pairs: DataFrame) -> DataFrame:
     """Features of equality, length, token sets, numbers, postcode, state, passes and source."""
     held = pairs.withColumns({f"{s}_{n}": _tokens(f"{s}_{c}") for s in "ab" for n, c in (("nt", "name_core"), ("at", "addr_norm"), ("nn", "addr_nums"))})
-    both = {n: F.size(F.array_intersect(f"a_{n}", f"b_{n}")) for n in ("nt", "at", "nn")}
-    union = {n: F.size(F.array_union(f"a_{n}", f"b_{n}")) for n in ("nt", "nn")}
-    count = lambda c: F.size(F.array_distinct(c))
+    sets = ("nt", "at", "nn")
+    held = held.withColumns({f"n_{n}": F.size(F.array_intersect(f"a_{n}", f"b_{n}")) for n in sets} | {f"{s}_n_{n}": F.size(F.array_distinct(f"{s}_{n}")) for s in "ab" for n in sets})  # once each, though several features use them
+    both = {n: F.col(f"n_{n}") for n in sets}
+    count = {(s, n): F.col(f"{s}_n_{n}") for s in "ab" for n in sets}
+    union = {n: count["a", n] + count["b", n] - both[n] for n in sets}
     full = lambda n: (F.size(f"a_{n}") > 0) & (F.size(f"b_{n}") > 0)
     flag = lambda c: c.cast("int")
     longest = lambda c: F.aggregate(c, F.lit(""), lambda m, x: F.when(F.length(x) > F.length(m), x).otherwise(m))
@@ -77,9 +80,9 @@ def with_sets(pairs: DataFrame) -> DataFrame:
             "name_ntok_b": spaces(F.col("b_name_core")),
             "addr_empty_a": flag(F.col("a_addr_norm") == ""),
             "addr_empty_b": flag(F.col("b_addr_norm") == ""),
-            "addr_contain_a": F.when(full("at"), _share(both["at"], count("a_at"))).otherwise(0.0),
-            "addr_contain_b": F.when(full("at"), _share(both["at"], count("b_at"))).otherwise(0.0),
-            "num_subset_b": flag((F.size("b_nn") > 0) & (F.size(F.array_except("b_nn", "a_nn")) == 0)),
+            "addr_contain_a": F.when(full("at"), _share(both["at"], count["a", "at"])).otherwise(0.0),
+            "addr_contain_b": F.when(full("at"), _share(both["at"], count["b", "at"])).otherwise(0.0),
+            "num_subset_b": flag((F.size("b_nn") > 0) & (both["nn"] == count["b", "nn"])),
             "num_both": flag(full("nn")),
             "num_common": F.when(full("nn"), both["nn"]).otherwise(0),
             "num_jacc": F.when(full("nn"), both["nn"] / union["nn"]).otherwise(0.0),
@@ -93,25 +96,25 @@ def with_sets(pairs: DataFrame) -> DataFrame:
         }
         | {f"pass_{n}": flag(F.col("passes").cast("int").bitwiseAND(F.lit(b)) > 0) for n, b in PASSES.items()}
     )
-    return out.drop(*(f"{s}_{n}" for s in "ab" for n in ("nt", "at", "nn")))
+    return out.drop(*(f"n_{n}" for n in sets), *(f"{s}_{k}{n}" for s in "ab" for n in sets for k in ("", "n_")))
 
 
-def with_similarities(pairs: DataFrame) -> DataFrame:
-    """The string similarities, all from one UDF call a pair, in single precision so that ties stay ties."""
+def with_similarities(pairs: DataFrame, only: set[str] = frozenset(SIMILAR)) -> DataFrame:
+    """The string similarities, all from one UDF call a pair, in single precision so that ties stay ties. Those not in `only` are 0."""
     glue = lambda s: F.replace(f"{s}_name_core", F.lit(" "), F.lit(""))
     sides = {c: [glue(s) if c == "glued" else F.col(f"{s}_{c}") for s in "ab"] for _, c in SIMILAR.values()}  # one object each, so that it is sent once
-    scored = pairs.withColumn("__s", similarities({n: (k, *sides[c]) for n, (k, c) in SIMILAR.items()}))
-    return scored.withColumns({n: F.col(f"__s.{n}").cast("float") for n in SIMILAR}).drop("__s")
+    made = {n: (k, *sides[c]) for n, (k, c) in SIMILAR.items() if n in only}
+    scored = pairs.withColumn("__s", similarities(made)) if made else pairs
+    return scored.withColumns({n: (F.col(f"__s.{n}") if n in made else F.lit(0)).cast("float") for n in SIMILAR}).drop("__s")
 
 
 def with_group(pairs: DataFrame, *, name: str = "name_tset", addr: str = "addr_tset", strong: float = STRONG) -> DataFrame:
     """The candidate count, and rank, gap to the best, and number of strong candidates by name, address and both."""
     own = Window.partitionBy("s1_entity_id")
     scores = {"name_tset": F.col(name), "addr_tset": F.col(addr), "combo": F.col(name) + F.col(addr)}
-    out = pairs.withColumn("n_cands", F.count(F.lit(1)).over(own))
-    for n, score in scores.items():
-        out = out.withColumns({f"{n}_rank": F.rank().over(own.orderBy(score.desc())), f"{n}_gap": F.max(score).over(own) - score})
-    return out.withColumns({f"n_{n}_strong": F.sum((F.col(c) >= strong).cast("int")).over(own) for n, c in (("addr", addr), ("name", name))})
+    out = pairs.withColumns({f"{n}_rank": F.rank().over(own.orderBy(score.desc())) for n, score in scores.items()})
+    whole = {"n_cands": F.count(F.lit(1)).over(own)} | {f"{n}_gap": F.max(score).over(own) - score for n, score in scores.items()}
+    return out.withColumns(whole | {f"n_{n}_strong": F.sum((F.col(c) >= strong).cast("int")).over(own) for n, c in (("addr", addr), ("name", name))})
 
 
 #: The model's features, in order.
@@ -127,5 +130,20 @@ FEATURES = [
 def features(pairs: DataFrame, norm: DataFrame) -> DataFrame:
     """Keys, label if there is one, and all features as floats."""
     made = with_group(with_similarities(with_sets(attached(pairs, norm))))
-    held = [c for c in ("s1_entity_id", "candidate_entity_id", "label", "country") if c in pairs.columns]
-    return made.select(*held, "b_name_core", "b_addr_norm", *(F.col(c).cast("float").alias(c) for c in FEATURES))
+    return made.select(*_keys(pairs), "b_name_core", "b_addr_norm", *(F.col(c).cast("float").alias(c) for c in FEATURES))
+
+
+def _keys(pairs: DataFrame) -> list[str]:
+    return [c for c in ("s1_entity_id", "candidate_entity_id", "label", "country") if c in pairs.columns]
+
+
+def vectors(pairs: DataFrame, norm: DataFrame, only: set[str] = frozenset(FEATURES)) -> DataFrame:
+    """Keys, label if there is one, and `features`, a vector of all features in order (NaN for null): narrow rows for the group's windows
+    and for a fit. For a model that reads no others than `only`, the rest are 0 and not computed."""
+    at = FEATURES.index("n_cands")
+    own, group = FEATURES[:at], FEATURES[at:]
+    needed = only | ({"name_tset", "addr_tset"} if only.intersection(group) - {"n_cands"} else set())
+    part = lambda names: F.array(*(F.coalesce(F.col(c).cast("float"), F.lit(float("nan")).cast("float")) if c in only else F.lit(0.0).cast("float") for c in names))
+    made = with_similarities(with_sets(attached(pairs, norm)), needed)
+    made = with_group(made.select(*_keys(pairs), "name_tset", "addr_tset", part(own).alias("__own")))
+    return made.select(*_keys(pairs), array_to_vector(F.concat("__own", part(group)).cast("array<double>")).alias("features"))

@@ -6,6 +6,7 @@ leaf-wise trees. The second scorer is pluggable; the default is a logistic regre
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,7 +24,7 @@ KEEP_FROM = 0.02
 
 
 def fit_trees(df: DataFrame, features: list[str], *, rounds: int = 20, depth: int = 4, validation: str | None = None, seed: int = split.SEED) -> PipelineModel:
-    """Boosted trees on float features; with a validation flag, rounds stop when it no longer improves (all are made where no row, or
+    """Boosted trees on float features (or on a vector `features` of them, which the model then takes too); with a validation flag, rounds stop when it no longer improves (all are made where no row, or
     every row, has it)."""
     kind = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.1, subsamplingRate=0.9, minInstancesPerNode=5, seed=seed)
     if validation and df.select(validation).distinct().count() == 2:
@@ -31,7 +32,8 @@ def fit_trees(df: DataFrame, features: list[str], *, rounds: int = 20, depth: in
     elif validation:
         df = df.drop(validation)
     rows = df.withColumn("label", F.col("label").cast("double"))
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), kind]).fit(rows)
+    first = [] if "features" in df.columns else [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")]
+    return Pipeline(stages=[*first, kind]).fit(rows)
 
 
 def scored(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
@@ -43,6 +45,11 @@ def importances(model: PipelineModel, features: list[str], n: int = 15) -> list[
     return sorted(zip(features, model.stages[-1].featureImportances.toArray().tolist(), strict=True), key=lambda x: (-x[1], x[0]))[:n]
 
 
+def used(model: PipelineModel, features: list[str]) -> set[str]:
+    """The features that a split of the model's trees reads; its scores depend on no others."""
+    return {features[int(i)] for i in re.findall(r"\(feature (\d+) ", model.stages[-1].toDebugString)}
+
+
 def out_of_fold(train: DataFrame, others: DataFrame, features: list[str], **options) -> tuple[DataFrame, DataFrame, list[PipelineModel]]:
     """train scored by the model of the other half of the entities, others by the mean of both models."""
     folded = train.withColumn("__f", split.fold("s1_entity_id"))
@@ -85,18 +92,20 @@ Rescorer = Callable[[DataFrame, DataFrame], DataFrame]
 def word_rescorer(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs and `ce`: a regression on words that one side alone or both have (left_text, right_text, label)."""
     marked = "SELECT *, concat_ws(' ', transform(array_intersect(split(left_text, ' '), split(right_text, ' ')), x -> concat('=', x)), transform(array_except(split(left_text, ' '), split(right_text, ' ')), x -> concat('<', x)), transform(array_except(split(right_text, ' '), split(left_text, ' ')), x -> concat('>', x))) AS words FROM __THIS__"
-    steps = [SQLTransformer(statement=marked), Tokenizer(inputCol="words", outputCol="tokens"), HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 14), LogisticRegression(labelCol="label", regParam=0.01, maxIter=30)]
-    model = Pipeline(stages=steps).fit(train.withColumn("label", F.col("label").cast("double")))
-    return model.transform(pairs).withColumn("ce", vector_to_array("probability")[1].cast("float")).select(*pairs.columns, "ce")
+    words = PipelineModel([SQLTransformer(statement=marked), Tokenizer(inputCol="words", outputCol="tokens"), HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 14)])
+    rows = words.transform(train).select(F.col("label").cast("double").alias("label"), "features")
+    model = LogisticRegression(labelCol="label", regParam=0.01, maxIter=30).fit(stored(rows, "words"))  # a fit reads its rows several times
+    return model.transform(words.transform(pairs)).withColumn("ce", vector_to_array("probability")[1].cast("float")).select(*pairs.columns, "ce")
 
 
 def rescored(train: DataFrame, scores: DataFrame, norm: DataFrame, *, train_norm: DataFrame | None = None, k: int = 10, least: float = KEEP_FROM, scorer: Rescorer = word_rescorer) -> DataFrame:
     """s1_entity_id, candidate_entity_id, ce of each entity's k best pairs, by a scorer that learns from those of train.
 
-    The records of train are in norm too, unless `train_norm` has them: registries of different splits may share ids."""
+    The records of train are in norm too, unless `train_norm` has them: registries of different splits may share ids. The best
+    pairs are stored, since what reads them may do so several times."""
 
     def best(df: DataFrame, norm: DataFrame) -> DataFrame:
-        top = split.top_k(df, k, least=least)
+        top = stored(split.top_k(df, k, least=least), "best")
         texts = norm.select("entity_id", "name_norm", "addr_norm")
         left, right = pair_text(texts, "left"), pair_text(texts, "right")
         return top.join(left, top["s1_entity_id"] == left["left"]).join(right, top["candidate_entity_id"] == right["right"])

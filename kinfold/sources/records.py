@@ -9,13 +9,19 @@ from ..functions.text import normalized
 from .store import stored
 
 
+#: Letters of a text among which its first twelve words are looked for; where they aren't found, the whole text is read.
+START = 600
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, sn, entity_id, business_name, business_address, country, text_key of every document: three sources by the number in `source`."""
-    cut = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}\p{M}\s]", " "), r"\s+"), lambda t: t != "")
+    words = lambda text: F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\p{M}\s]", " "), r"\s+"), lambda t: t != "")
+    start = words(F.regexp_extract(F.substring("text", 1, START), r"^([\s\S]*)\s", 1))  # up to a space, so that its words are those of the text
+    cut = F.when(F.size(start) >= 12, start).otherwise(words("text"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", (1 + F.expr("cast(substr(source, 4) as int)") % 3).alias("sn"), cut.alias("t"), F.md5("text").alias("text_key"))
     part = lambda a, n: F.array_join(F.slice("t", a, n), " ")
     return docs.select(

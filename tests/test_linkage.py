@@ -125,3 +125,64 @@ def test_second_stage_is_made_once(spark, monkeypatch):
     monkeypatch.setattr(L, "fit_trees", lambda df, features, fit=L.fit_trees, **o: plans.append(df._jdf.queryExecution().toString()) or fit(df, features, **o))
     made, _ = L.two_stages(pairs, pairs, ["x"], rounds=1, depth=1)
     assert len(plans) == 3 and "Window" not in plans[2] and "parquet" in plans[2] and made.count() == len(rows)
+
+
+def _small_pairs(spark, small):
+    from kinfold.plans import linkage as Q
+    from kinfold.sources.store import stored
+
+    norm = R.stored_norm(spark, small)
+    return stored(Q._labelled_pairs(spark, small, norm), "pairs"), norm
+
+
+def test_vectors_hold_the_features_that_a_model_reads(spark, small):
+    from kinfold.operators import features as X
+    from kinfold.operators import model as L
+
+    pairs, norm = _small_pairs(spark, small)
+    rows = lambda df: {(r[0], r[1]): r for r in df.collect()}
+    every, made = rows(X.features(pairs, norm)), X.vectors(pairs, norm).localCheckpoint()
+    held = rows(made)
+    assert set(held) == set(every) and all(r.features.toArray().tolist() == [every[k][f] for f in X.FEATURES] for k, r in held.items())
+    model = L.fit_trees(made, X.FEATURES, rounds=2, depth=2)
+    read = L.used(model, X.FEATURES)
+    assert 0 < len(read) <= 6 and {f for f, x in L.importances(model, X.FEATURES) if x > 0} <= read
+    part = X.vectors(pairs, norm, read)
+    assert rows(L.scored(model, part).drop("features")) == rows(L.scored(model, made).drop("features"))
+    for only in ({"n_cands"}, {"combo_gap", "addr_ratio"}, {"n_name_strong"}, set()):
+        got = rows(X.vectors(pairs, norm, only))
+        assert set(got) == set(every) and all(r.features.toArray().tolist() == [every[k][f] if f in only else 0.0 for f in X.FEATURES] for k, r in got.items())
+
+
+def test_rescored_query_reads_what_is_stored(spark, small, monkeypatch):
+    """The normalized records are made once, and the second scorer's rows aren't scored, ranked and joined again with each reading."""
+    from kinfold.operators import model as L
+    from kinfold.plans import linkage as Q
+
+    norms, given = [], []
+    monkeypatch.setattr(R, "stored_norm", lambda *a, make=R.stored_norm: norms.append(a) or make(*a))
+
+    def scorer(train, pairs):
+        given.extend(df._jdf.queryExecution().toString() for df in (train, pairs))
+        return L.word_rescorer(train, pairs)
+
+    monkeypatch.setattr(L.rescored, "__kwdefaults__", L.rescored.__kwdefaults__ | {"scorer": scorer})
+    made = Q.QUERIES["model_rescored"](spark, small).collect()
+    assert len(norms) == 1 and len(given) == 2 and not any("Window" in x or "UDF" in x for x in given)
+    pairs, _ = _small_pairs(spark, small)
+    others = pairs.filter(T.fold("s1_entity_id", salt=9) == 1).groupBy("s1_entity_id").count().collect()
+    assert len(made) == len({(r[0], r[1]) for r in made}) == sum(min(10, r["count"]) for r in others) and all(0 <= r.ce <= 1 for r in made)
+
+
+def test_records_of_long_texts(spark, tmp_path, monkeypatch):
+    """The first words come from a text's start only where it has them all, uncut."""
+    word = "Wort ΑΣ' x́y 12,3\t"
+    texts = [word * 40, " " * 700 + word * 5, "!" * 900 + " " + word * 9, "a" * 650 + " " + word * 9, word * 2, "eins", "", None, " ".join(["NBSP"] * 300), "\n".join(f"z{i}ΟΔΟΣ" for i in range(400))]
+    texts += [" ".join("w" * k for _ in range(20)) for k in range(3, 60)]
+    docs = [(i, t, "de", f"src{i}", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    found = []
+    for start in (0, 7, 50, R.START, 5000):  # 0: whole texts
+        monkeypatch.setattr(R, "START", start)
+        found.append(sorted(map(tuple, R.records(spark, str(tmp_path)).collect()), key=lambda r: r[0]))
+    assert all(x == found[0] for x in found) and found[0][0][3] == "wort ας x́y 12"
