@@ -29,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Texts, give_back, raw_slices, table, trimmed
+from .shared import Texts, give_back, parts, raw_slices, table, trimmed
 
 SLICE = 4000  # windows a step of training holds at once
+PART = 200_000  # bytes of text that are scanned at once, a text at least; arrays over them take about a hundred times as much
 SAMPLE = 4000
 WINDOW = 24
 WINDOWS_A_DOC = 24
@@ -399,7 +400,7 @@ def _found(batch_text, weights) -> Iterator[tuple[bytes | None, list[tuple[int,
     """Of each row of a text column: its bytes if it has spans, and the spans (start, kind, end) in code points."""
     own = Field()
     own.shape, own.word, own.file, own.edge = weights
-    for _, _, data, offsets in raw_slices(batch_text, 1_500_000):
+    for _, _, data, offsets in raw_slices(batch_text, PART):
         found = _scan(data, offsets)
         tokens = Tokens(data, offsets)
         scores = own.emissions(tokens.shape, tokens.word, tokens.file[tokens.rows()], tokens.first) if len(tokens.starts) else np.zeros((0, 3))
@@ -447,9 +448,10 @@ def redact(docs: DataFrame, field: Field | None = None, *, text: str = "text", m
 
     def run(batches):
         for batch in batches:
-            old = batch.column(at)
-            new = [old[i].as_py() if raw is None else cut(raw, spans) for i, (raw, spans) in enumerate(_found(old, weights))]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(new, old.type))
+            for part in parts(batch, at, PART):
+                old = part.column(at)
+                new = [old[i].as_py() if raw is None else cut(raw, spans) for i, (raw, spans) in enumerate(_found(old, weights))]
+                yield part.set_column(at, part.schema.field(at), pa.array(new, old.type))
 
     return docs.mapInArrow(trimmed(run), schema)
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -205,6 +206,16 @@ def raw_slices(column: pa.Array, most: int) -> Iterator[tuple[int, int, np.ndarr
         at = to
 
 
+def parts(batch: pa.RecordBatch, at: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows, in order, with about `most` bytes each in its text column `at`, a row at least; they share the batch's memory."""
+    ends = np.cumsum(pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    row = 0
+    while row < len(ends):
+        to = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + most, "right")))
+        yield batch.slice(row, to - row)
+        row = to
+
+
 def texts_of(column: pa.Array, most: int = 2_000_000, fold: bool = True) -> Iterator[tuple[int, int, Texts]]:
     """The slices as `Texts`."""
     for at, to, data, offsets in raw_slices(column, most):
